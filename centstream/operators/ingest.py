@@ -54,7 +54,7 @@ def verify_signatures(
     message = signed_message(stamp, F.col("body"))
     given = signatures(header)
     matches = F.exists(
-        keys_value(keys),
+        "_keys",
         lambda key: F.array_contains(given, hmac_sha256(message, key["ipad"], key["opad"])),
     )
     good = (stamp != "") & F.coalesce(matches, F.lit(False))
@@ -66,7 +66,8 @@ def verify_signatures(
         .when(good, "ok")
         .otherwise(INVALID_SIGNATURE)
     )
-    return bronze.select("*", once(status.alias("signature_status")))
+    keyed = bronze.select("*", keys_value(keys).alias("_keys"))
+    return keyed.select("*", once(status.alias("signature_status"))).drop("_keys")
 
 
 def route_deliveries(verified: DataFrame) -> DataFrame:

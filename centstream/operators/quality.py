@@ -59,6 +59,10 @@ def quality_metrics(enriched: DataFrame) -> DataFrame:
 
 
 def observed(records: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows as they pass, without another pass; read it after the action."""
+    """Count rows and key bytes as they pass, without another pass.
+
+    Read the counts after the action. The bytes are null when there are no rows.
+    """
     watch = Observation(name)
-    return records.observe(watch, F.count("*").alias("rows")), watch
+    key_bytes = F.sum(F.octet_length("event_id")).alias("key_bytes")
+    return records.observe(watch, F.count("*").alias("rows"), key_bytes), watch

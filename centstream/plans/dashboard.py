@@ -22,6 +22,11 @@ class Dashboard(NamedTuple):
     status: DataFrame
     hourly: DataFrame
     recent: DataFrame
+    totals: DataFrame
+
+    def release(self) -> None:
+        """Drop the kept status totals once the reports have been read."""
+        self.totals.unpersist()
 
 
 def dashboard(
@@ -32,17 +37,18 @@ def dashboard(
 ) -> Dashboard:
     """The four reports, agreeing with each other because they read one version.
 
-    The headline is added up from the few status totals, so one pass over four
-    columns serves both; the other two reports read recent days only.
+    The headline is added up from the status totals, of which there is one row
+    per status, so one pass over four columns serves both; the other two reports
+    read recent days only.
     """
     version = table.state().version
     payments = table.read(version)
     totals = status_totals(of_currency(payments, currency)).persist()
+    status = totals.select("payment_status", "event_count")
     return Dashboard(
-        with_success_rate(summary_of_totals(totals)),
-        totals.select("payment_status", "event_count").orderBy(
-            F.desc("event_count"), "payment_status"
-        ),
-        hourly_activity(payments, currency, as_of),
-        table.recent(currency, limit, version),
+        summary=with_success_rate(summary_of_totals(totals)),
+        status=status.orderBy(F.desc("event_count"), "payment_status"),
+        hourly=hourly_activity(payments, currency, as_of),
+        recent=table.recent(currency, limit, version),
+        totals=totals,
     )

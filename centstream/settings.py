@@ -18,6 +18,8 @@ class JobSettings:
     max_offsets_per_trigger: int | None = None
     watermark: str = "1 day"
     hot_key_salts: int = 0
+    key_scope: str = "table"
+    tidy_every: int = 100
     jdbc_url: str | None = None
     jdbc_user: str | None = None
     jdbc_password: str | None = field(default=None, repr=False)
@@ -36,6 +38,8 @@ class JobSettings:
             max_offsets_per_trigger=int(per_trigger) if per_trigger else None,
             watermark=env.get("WATERMARK", "1 day"),
             hot_key_salts=int(env.get("HOT_KEY_SALTS", "0")),
+            key_scope=env.get("KEY_SCOPE", "table"),
+            tidy_every=int(env.get("TIDY_EVERY", "100")),
             jdbc_url=env.get("JDBC_URL"),
             jdbc_user=env.get("JDBC_USER"),
             jdbc_password=env.get("JDBC_PASSWORD"),

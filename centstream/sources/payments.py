@@ -6,9 +6,9 @@ sees one consistent version and a new version appears in a single rename.
 
 An upsert appends the batch as a new part. Only where a key is already stored are
 the folders holding it written again without it, so the usual batch of new keys
-costs no rewrite. ``compact`` joins the parts of a day, ``vacuum`` removes the
-files that no kept version needs. One writer at a time; a second one that commits
-the same version fails.
+costs no rewrite. ``compact`` joins the small parts of a day, ``vacuum`` removes
+the files that no kept version needs. One writer at a time; a second one that
+commits the same version fails.
 """
 
 import json
@@ -38,6 +38,14 @@ STORED_DDL = TABLE_DDL + ", part STRING, event_day DATE"
 WHOLE_TABLE = "table"
 SAME_DAY = "day"
 
+# Kinds of part: written by an upsert, or joined by ``compact``.
+LOOSE = "loose"
+JOINED = "joined"
+
+# Keys of a batch are sent to every executor up to this many bytes of key text,
+# so that the table is not shuffled; beyond it both sides are.
+MAX_BROADCAST_KEY_BYTES = 64 * 1024 * 1024
+
 
 @dataclass(frozen=True)
 class TableState:
@@ -134,10 +142,10 @@ class PaymentsTable:
         new = self._write_part(counted)
         after = before.changed(added=new)
         if new and before.days:
+            keys = self._keys(new, watch.get["key_bytes"])
             scope = None if key_scope == WHOLE_TABLE else [day for _, day in new]
-            stale = self._folders_holding(self._scan(new), before.folders(scope))
+            stale = self._folders_holding(keys, before.folders(scope))
             if stale:
-                keys = self._scan(new).select("event_id")
                 kept = self._scan(stale).join(keys, "event_id", "left_anti")
                 after = before.changed(dropped=stale, added=[*new, *self._write_part(kept)])
         if batch_id is not None:
@@ -146,14 +154,23 @@ class PaymentsTable:
         LOGGER.info("stream=%s batch_id=%s rows=%s", stream, batch_id, watch.get["rows"])
         return after
 
-    def compact(self, max_parts: int = 8) -> TableState:
-        """Write days that have more than ``max_parts`` parts as one part each."""
+    def compact(self, max_loose: int = 8) -> TableState:
+        """Join the parts that upserts left in days with more than ``max_loose`` of them.
+
+        Parts joined before are left alone, so a row is not written again each time.
+        """
         before = self.state()
-        scattered = [day for day, parts in before.days.items() if len(parts) > max_parts]
-        if not scattered:
+        loose = {
+            day: [part for part in parts if part.startswith(LOOSE)]
+            for day, parts in before.days.items()
+        }
+        folders = [
+            (part, day) for day, parts in loose.items() if len(parts) > max_loose for part in parts
+        ]
+        if not folders:
             return before
-        folders = before.folders(scattered)
-        after = before.changed(dropped=folders, added=self._write_part(self._scan(folders)))
+        joined = self._write_part(self._scan(folders), JOINED)
+        after = before.changed(dropped=folders, added=joined)
         self._commit(after)
         return after
 
@@ -181,24 +198,29 @@ class PaymentsTable:
         reader = self.spark.read.schema(STORED_DDL).option("basePath", self._data)
         return reader.parquet(*paths)
 
+    def _keys(self, folders: list[tuple[str, str]], key_bytes: int | None) -> DataFrame:
+        keys = self._scan(folders).select("event_id")
+        small = key_bytes is not None and key_bytes <= MAX_BROADCAST_KEY_BYTES
+        return F.broadcast(keys) if small else keys
+
     def _folders_holding(
-        self, batch: DataFrame, folders: list[tuple[str, str]]
+        self, keys: DataFrame, folders: list[tuple[str, str]]
     ) -> list[tuple[str, str]]:
-        """Which folders store a key of the batch. Reads their key column only."""
+        """Which folders store one of the keys. Reads their key column only."""
         hits = self._scan(folders).select("event_id", "part", "event_day")
-        hits = hits.join(batch.select("event_id"), "event_id", "left_semi")
+        hits = hits.join(keys, "event_id", "left_semi")
         # At most one row per folder comes back.
         found = hits.select("part", "event_day").distinct().collect()
         return [(row.part, row.event_day.isoformat()) for row in found]
 
-    def _write_part(self, rows: DataFrame) -> list[tuple[str, str]]:
+    def _write_part(self, rows: DataFrame, kind: str = LOOSE) -> list[tuple[str, str]]:
         """Write rows as a new part; the folders made.
 
         The hint gathers each day into files of the advisory size, splitting a
         day that holds much of the data. Sorting lets readers skip row groups by
         currency and time.
         """
-        part = uuid.uuid4().hex
+        part = f"{kind}-{uuid.uuid4().hex}"
         (
             rows.select(*TABLE_COLUMNS, F.to_date("event_time").alias("event_day"))
             .hint("rebalance", F.col("event_day"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from centstream.contract import REJECT_DDL
+from centstream.operators.ingest import ingest, published_events
 from centstream.operators.route import (
     WATERMARK,
     accepted,
@@ -23,7 +24,7 @@ from centstream.operators.upsert import with_raw_event
 from centstream.plans.batch import check_records
 from centstream.session import build_session
 from centstream.settings import JobSettings
-from centstream.sources.bus import kafka_stream
+from centstream.sources.bus import kafka_stream, publish_stream
 from centstream.sources.payments import WHOLE_TABLE, PaymentsTable
 
 LOGGER = logging.getLogger(__name__)
@@ -34,6 +35,9 @@ REJECTED_QUERY = "rejected-records"
 # Process what is there and stop; the form used by tests and backfills.
 DRAIN = {"availableNow": True}
 
+# The default of the JSON writer would cut instants to milliseconds.
+JSON_CLOCK = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def start_valid(
     bus: DataFrame,
@@ -44,16 +48,19 @@ def start_valid(
     hot_key_salts: int = 0,
     processed_at: Column | None = None,
     key_scope: str = WHOLE_TABLE,
+    tidy_every: int = 0,
 ) -> StreamingQuery:
     """Upsert valid payments, first arrival within the watermark.
 
     A payment older than the watermark is dropped and shows only in the count of
-    ``dropped_as_late``; ``start_valid_late_safe`` keeps it.
+    ``dropped_as_late``; ``start_valid_late_safe`` keeps it. Every ``tidy_every``
+    batches the table's small parts are joined and unneeded files removed.
     """
     valid = valid_records(check_records(bus, processed_at), delay, hot_key_salts)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table.upsert(with_raw_event(batch), VALID_QUERY, batch_id, key_scope)
+        _tidy(table, batch_id, tidy_every)
 
     return _start(valid.writeStream.foreachBatch(write), VALID_QUERY, checkpoint, trigger)
 
@@ -65,6 +72,7 @@ def start_valid_late_safe(
     trigger: Mapping[str, object] | None = None,
     processed_at: Column | None = None,
     key_scope: str = WHOLE_TABLE,
+    tidy_every: int = 0,
 ) -> StreamingQuery:
     """Upsert valid payments without stream state: nothing is too late.
 
@@ -76,10 +84,17 @@ def start_valid_late_safe(
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = with_raw_event(payment_columns(dedup_first(batch)))
         table.upsert(rows, VALID_QUERY, batch_id, key_scope)
+        _tidy(table, batch_id, tidy_every)
 
     return _start(passed.writeStream.foreachBatch(write), VALID_QUERY, checkpoint, trigger)
 
 
+def _tidy(table: PaymentsTable, batch_id: int, every: int) -> None:
+    if every and batch_id % every == every - 1:
+        table.compact()
+        table.vacuum()
+
+
 def start_rejected(
     bus: DataFrame,
     path: str,
@@ -89,13 +104,14 @@ def start_rejected(
 ) -> StreamingQuery:
     """Append refused records as JSON files, one folder per rejection date."""
     rejected = rejected_records(check_records(bus, processed_at))
-    writer = rejected.writeStream.format("json").partitionBy("rejection_date").option("path", path)
+    writer = rejected.writeStream.format("json").partitionBy("rejection_date")
+    writer = writer.option("path", path).option("timestampFormat", JSON_CLOCK)
     return _start(writer, REJECTED_QUERY, checkpoint, trigger)
 
 
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:
     """Refused records written so far; a filter on the date prunes folders."""
-    return spark.read.schema(REJECT_DDL).json(path)
+    return spark.read.schema(REJECT_DDL).option("timestampFormat", JSON_CLOCK).json(path)
 
 
 def _start(writer, name: str, checkpoint: str, trigger: Mapping[str, object] | None):
@@ -116,6 +132,13 @@ def progress_counts(query: StreamingQuery) -> dict[str, int]:
     return counts
 
 
+def start_ingest(
+    bronze: DataFrame, keys: DataFrame, servers: str, topic: str, checkpoint: str
+) -> StreamingQuery:
+    """Verify, flatten and publish raw webhook deliveries as they arrive."""
+    return publish_stream(published_events(ingest(bronze, keys)), servers, topic, checkpoint)
+
+
 def run(settings: JobSettings) -> None:
     """Run both queries until one of them ends, then stop all."""
     logging.basicConfig(level=settings.log_level)
@@ -129,6 +152,8 @@ def run(settings: JobSettings) -> None:
         f"{settings.checkpoint_root}/valid",
         delay=settings.watermark,
         hot_key_salts=settings.hot_key_salts,
+        key_scope=settings.key_scope,
+        tidy_every=settings.tidy_every,
     )
     rejected = start_rejected(
         bus, settings.rejected_path, f"{settings.checkpoint_root}/rejected"
