@@ -28,7 +28,7 @@ EVENT_DDL = (
     "livemode BOOLEAN, provider_created_at BIGINT, received_at STRING, source STRING"
 )
 
-# A validated payment.
+# A payment, less the tag of its provider.
 PAYMENT_DDL = (
     "event_id STRING, payment_id STRING, event_type STRING, amount_minor BIGINT, "
     "amount_major DECIMAL(18,3), currency STRING, payment_status STRING, "
@@ -36,6 +36,9 @@ PAYMENT_DDL = (
     "event_time TIMESTAMP, received_at TIMESTAMP, processed_at TIMESTAMP"
 )
 
+# A validated payment, as it leaves the stream.
+VALID_DDL = PAYMENT_DDL + ", source STRING"
+
 # The payments table: a payment plus its own JSON rendering.
 TABLE_DDL = PAYMENT_DDL + ", raw_event STRING"
 
@@ -53,7 +56,7 @@ def column_names(ddl: str) -> list[str]:
 
 
 EVENT_COLUMNS = column_names(EVENT_DDL)
-PAYMENT_COLUMNS = column_names(PAYMENT_DDL)
+VALID_COLUMNS = column_names(VALID_DDL)
 TABLE_COLUMNS = column_names(TABLE_DDL)
 TRACE_COLUMNS = ["kafka_key", "raw_value", "kafka_timestamp", "kafka_partition", "kafka_offset"]
 ARRIVAL_ORDER = ["kafka_timestamp", "kafka_partition", "kafka_offset"]

@@ -23,6 +23,14 @@ IGNORED = "ignored"
 CONTRACT_VIOLATION = "contract_violation"
 PUBLISHED = "published"
 
+# The part of the provider's document that is read. Fields that are typed later
+# stay VARIANT, so that a value of a wrong type is not taken for an absent one.
+EVENT_SHAPE = (
+    "STRUCT<id STRING, type STRING, created VARIANT, livemode VARIANT, data STRUCT<object STRUCT<"
+    "id STRING, amount VARIANT, currency STRING, status STRING, description STRING, "
+    "customer VARIANT>>>"
+)
+
 # What a publishable event must satisfy, in the form of the validation rules.
 CONTRACT_RULES: tuple[tuple[str, str], ...] = (
     ("event_id is required", "event_id IS NULL"),
@@ -71,55 +79,48 @@ def verify_signatures(
 
 
 def route_deliveries(verified: DataFrame) -> DataFrame:
-    """Parse the body once and decide what to do with it: ``route`` and ``doc``.
+    """Parse the body once and decide what to do with it: ``route`` and ``event``.
 
     Only bodies with a good signature are parsed. An unsupported type is
     acknowledged and ignored, not refused.
     """
     body = F.when(F.col("signature_status") == "ok", F.col("body"))
     parsed = verified.select("*", once(F.try_parse_json(body).alias("doc")))
-    event_type = F.coalesce(_text("$.type"), F.lit(""))
+    event = F.try_variant_get("doc", "$", EVENT_SHAPE)
+    read = parsed.select("*", once(event.alias("event")))
     route = (
         F.when(F.col("signature_status") != "ok", F.col("signature_status"))
         .when(F.col("doc").isNull(), INVALID_JSON)
-        .when(event_type.isin(*PAYMENT_EVENT_TYPES), "publish")
+        .when(F.col("event.type").isin(*PAYMENT_EVENT_TYPES), "publish")
         .otherwise(IGNORED)
     )
-    return parsed.select("*", route.alias("route"))
-
-
-def _field(path: str, as_type: str) -> Column:
-    return F.try_variant_get("doc", path, as_type)
+    return read.select("*", route.alias("route")).drop("doc")
 
 
-def _text(path: str) -> Column:
-    return _field(path, "string")
-
-
-def _or_default(path: str, as_type: str, default: object) -> Column:
-    """Typed field; the default when absent or null; null when of a wrong type."""
-    any_value = _field(path, "variant")
-    absent = any_value.isNull() | F.is_variant_null(any_value)
-    return F.when(absent, F.lit(default).cast(as_type)).otherwise(_field(path, as_type))
+def _or_default(value: Column, as_type: str, default: object) -> Column:
+    """Typed value; the default when absent or null; null when of a wrong type."""
+    absent = value.isNull() | F.is_variant_null(value)
+    return F.when(absent, F.lit(default).cast(as_type)).otherwise(value.try_cast(as_type))
 
 
 def flatten_event() -> list[Column]:
-    """The event columns taken from the nested document in ``doc``."""
-    payment = "$.data.object"
+    """The flat event columns taken from the nested ``event``."""
+    top, payment = F.col("event"), F.col("event.data.object")
+    customer = payment["customer"]
     return [
-        _text("$.id").alias("event_id"),
-        _text("$.type").alias("event_type"),
-        _text(f"{payment}.id").alias("payment_id"),
-        _or_default(f"{payment}.amount", "bigint", 0).alias("amount_minor"),
-        F.lower(_or_default(f"{payment}.currency", "string", "")).alias("currency"),
-        _or_default(f"{payment}.status", "string", "unknown").alias("payment_status"),
-        _text(f"{payment}.description").alias("description"),
+        top["id"].alias("event_id"),
+        top["type"].alias("event_type"),
+        payment["id"].alias("payment_id"),
+        _or_default(payment["amount"], "bigint", 0).alias("amount_minor"),
+        F.lower(F.coalesce(payment["currency"], F.lit(""))).alias("currency"),
+        F.coalesce(payment["status"], F.lit("unknown")).alias("payment_status"),
+        payment["description"].alias("description"),
         # An expanded customer is an object holding the id.
-        F.coalesce(_text(f"{payment}.customer.id"), _text(f"{payment}.customer")).alias(
-            "customer_id"
-        ),
-        _or_default("$.livemode", "boolean", False).alias("livemode"),
-        _or_default("$.created", "bigint", 0).alias("provider_created_at"),
+        F.coalesce(
+            F.try_variant_get(customer, "$.id", "string"), customer.try_cast("string")
+        ).alias("customer_id"),
+        _or_default(top["livemode"], "boolean", False).alias("livemode"),
+        _or_default(top["created"], "bigint", 0).alias("provider_created_at"),
         iso_utc(F.col("arrived_at")).alias("received_at"),
         F.lit(PROVIDER).alias("source"),
     ]
@@ -130,20 +131,20 @@ def map_events(routed: DataFrame) -> DataFrame:
     return routed.where(F.col("route") == "publish").select(*flatten_event())
 
 
-def contract_check(events: DataFrame, extra_fields: Column | None = None) -> DataFrame:
+def contract_check(
+    events: DataFrame, extra_fields: Column | None = None, received_at: Column | None = None
+) -> DataFrame:
     """Add ``contract_violation``: every broken contract rule, empty when none is.
 
     ``extra_fields`` is an array of field names outside the contract, for events
-    read from JSON; see ``unexpected_fields``.
+    read from JSON; see ``unexpected_fields``. ``received_at`` is the instant
+    behind the text of that name, where it is at hand already.
     """
     extra = F.array().cast("array<string>") if extra_fields is None else extra_fields
-    return (
-        events.withColumns(
-            {"received_at_ts": parse_iso(F.col("received_at")), "extra_fields": extra}
-        )
-        .withColumn("contract_violation", rejection_reason(CONTRACT_RULES))
-        .drop("received_at_ts", "extra_fields")
-    )
+    instant = parse_iso(F.col("received_at")) if received_at is None else received_at
+    prepared = events.withColumns({"received_at_ts": instant, "extra_fields": extra})
+    violation = rejection_reason(CONTRACT_RULES).alias("contract_violation")
+    return prepared.select("*", once(violation)).drop("received_at_ts", "extra_fields")
 
 
 def unexpected_fields(value: Column) -> Column:
@@ -164,7 +165,8 @@ def ingest(bronze: DataFrame, keys: DataFrame, tolerance_seconds: int | None = N
         .when(F.col("contract_violation") != "", CONTRACT_VIOLATION)
         .otherwise(PUBLISHED)
     )
-    return contract_check(flat).select("*", outcome.alias("ingest_status")).drop("route")
+    checked = contract_check(flat, received_at=F.col("arrived_at"))
+    return checked.select("*", outcome.alias("ingest_status")).drop("route")
 
 
 def published_events(ingested: DataFrame) -> DataFrame:

@@ -61,7 +61,7 @@ def quality_metrics(enriched: DataFrame) -> DataFrame:
 def observed(records: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count rows and key bytes as they pass, without another pass.
 
-    Read the counts after the action. The bytes are null when there are no rows.
+    Read the counts after the action.
     """
     watch = Observation(name)
     key_bytes = F.sum(F.octet_length("event_id")).alias("key_bytes")

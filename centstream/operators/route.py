@@ -7,6 +7,9 @@ from centstream.contract import ARRIVAL_ORDER
 
 WATERMARK = "1 day"
 
+# State partitions over which a stream spreads the copies of one key.
+HOT_KEY_SALTS = 8
+
 
 def accepted(enriched: DataFrame) -> DataFrame:
     return enriched.where("is_valid")
@@ -24,17 +27,19 @@ def dedup_first(records: DataFrame) -> DataFrame:
     )
 
 
-def dedup_within(records: DataFrame, delay: str = WATERMARK, hot_key_salts: int = 0) -> DataFrame:
+def dedup_within(
+    records: DataFrame, delay: str = WATERMARK, hot_key_salts: int = HOT_KEY_SALTS
+) -> DataFrame:
     """First arrival of every ``event_id`` within the watermark, for a stream.
 
     State for a key is dropped once the watermark has passed it, so it does not
     grow without end; a copy that comes later still is let through and absorbed
     by the upsert.
 
-    ``hot_key_salts`` adds a first step that spreads copies of one key which
-    arrive in the same minute over that many state partitions, and lets one of
-    each group through. Use it when a single id may fill a large part of a
-    micro-batch; it costs a second shuffle.
+    A single id may fill a large part of a micro-batch. So copies that arrive in
+    the same minute are first spread over ``hot_key_salts`` state partitions, each
+    of which lets one through, and only those meet in one place. This costs a
+    second shuffle; 0 leaves it out, for feeds whose ids hardly repeat.
     """
     marked = records.withWatermark("event_time", delay)
     if hot_key_salts > 1:
@@ -70,7 +75,7 @@ def payment_columns(records: DataFrame) -> DataFrame:
 
 
 def valid_records(
-    enriched: DataFrame, delay: str = WATERMARK, hot_key_salts: int = 0
+    enriched: DataFrame, delay: str = WATERMARK, hot_key_salts: int = HOT_KEY_SALTS
 ) -> DataFrame:
     """Accepted payments, each ``event_id`` once."""
     passed = accepted(enriched)

@@ -37,10 +37,11 @@ def with_raw_event(valid: DataFrame) -> DataFrame:
 def one_row_per_key(batch: DataFrame) -> DataFrame:
     """Reduce a batch to its earliest received row per ``event_id``.
 
-    A key may only be written once per merge. The ``_nth = 1`` form lets Spark
+    A key may only be written once per merge. Rows received at the same instant
+    are told apart by a hash of their values. The ``_nth = 1`` form lets Spark
     reduce a hot key in the map tasks.
     """
-    earliest = Window.partitionBy("event_id").orderBy("received_at", "raw_event")
+    earliest = Window.partitionBy("event_id").orderBy("received_at", F.xxhash64(*batch.columns))
     return batch.withColumn("_nth", F.row_number().over(earliest)).where("_nth = 1").drop("_nth")
 
 

@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from centstream.operators.parse import decode_envelope, parse_contract
 from centstream.operators.route import valid_records
-from centstream.operators.upsert import with_raw_event
 from centstream.operators.validate import enrich_and_validate
 from centstream.sources.payments import PaymentsTable
 
@@ -15,8 +14,8 @@ def check_records(bus: DataFrame, processed_at: Column | None = None) -> DataFra
 
 
 def payments_of(bus: DataFrame, processed_at: Column | None = None) -> DataFrame:
-    """Rows of the payments table for a batch of bus records."""
-    return with_raw_event(valid_records(check_records(bus, processed_at)))
+    """Valid payments of a batch of bus records, each key once."""
+    return valid_records(check_records(bus, processed_at))
 
 
 def load_table(
@@ -24,5 +23,5 @@ def load_table(
 ) -> PaymentsTable:
     """Upsert a batch of bus records into the table at ``root``."""
     table = PaymentsTable(spark, root)
-    table.upsert(payments_of(bus, processed_at))
+    table.upsert(payments_of(bus, processed_at), unique=True)
     return table

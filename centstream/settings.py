@@ -4,6 +4,9 @@ import os
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from centstream.operators.route import HOT_KEY_SALTS, WATERMARK
+from centstream.sources.payments import WHOLE_TABLE
+
 
 @dataclass(frozen=True)
 class JobSettings:
@@ -16,9 +19,9 @@ class JobSettings:
     checkpoint_root: str
     log_level: str = "INFO"
     max_offsets_per_trigger: int | None = None
-    watermark: str = "1 day"
-    hot_key_salts: int = 0
-    key_scope: str = "table"
+    watermark: str = WATERMARK
+    hot_key_salts: int = HOT_KEY_SALTS
+    key_scope: str = WHOLE_TABLE
     tidy_every: int = 100
     jdbc_url: str | None = None
     jdbc_user: str | None = None
@@ -36,9 +39,9 @@ class JobSettings:
             checkpoint_root=env["CHECKPOINT_ROOT"],
             log_level=env.get("LOG_LEVEL", "INFO").upper(),
             max_offsets_per_trigger=int(per_trigger) if per_trigger else None,
-            watermark=env.get("WATERMARK", "1 day"),
-            hot_key_salts=int(env.get("HOT_KEY_SALTS", "0")),
-            key_scope=env.get("KEY_SCOPE", "table"),
+            watermark=env.get("WATERMARK", WATERMARK),
+            hot_key_salts=int(env.get("HOT_KEY_SALTS", HOT_KEY_SALTS)),
+            key_scope=env.get("KEY_SCOPE", WHOLE_TABLE),
             tidy_every=int(env.get("TIDY_EVERY", "100")),
             jdbc_url=env.get("JDBC_URL"),
             jdbc_user=env.get("JDBC_USER"),

@@ -7,7 +7,7 @@ payments table, so a batch appears whole or not at all.
 from pyspark.sql import DataFrame, SparkSession
 
 from centstream.contract import TABLE_COLUMNS
-from centstream.operators.upsert import one_row_per_key
+from centstream.operators.upsert import one_row_per_key, with_raw_event
 
 JSON_COLUMN = "raw_event"
 
@@ -31,35 +31,55 @@ def merge_statement(table: str, staging: str, json_type: str | None = "JSONB") -
     )
 
 
-def read_payments(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
-    """The table; filters and column choice are pushed to the database.
+class JdbcPayments:
+    """Takes upserts like the file table, so either can be the sink of the stream."""
 
-    Pass ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``
-    to read it with more than one task.
-    """
-    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
+    def __init__(
+        self,
+        spark: SparkSession,
+        url: str,
+        user: str,
+        password: str,
+        table: str = "payments",
+        staging: str = "payments_staging",
+    ):
+        self.spark = spark
+        self.table = table
+        self.staging = staging
+        self._login = {"url": url, "user": user, "password": password}
 
+    def read(self, **options: str) -> DataFrame:
+        """The table; filters and column choice are pushed to the database.
 
-def upsert_payments(
-    batch: DataFrame, url: str, table: str, staging: str, user: str, password: str
-) -> None:
-    """Load a batch of table rows and merge it in one transaction."""
-    spark = batch.sparkSession
-    (
-        one_row_per_key(batch)
-        .write.format("jdbc")
-        .options(url=url, dbtable=staging, user=user, password=password)
-        .option("batchsize", "1000")
-        .option("truncate", "true")
-        .mode("overwrite")
-        .save()
-    )
-    driver = spark.sparkContext._jvm.java.sql.DriverManager
-    connection = driver.getConnection(url, user, password)
-    try:
-        connection.setAutoCommit(False)
-        statement = connection.createStatement()
-        statement.executeUpdate(merge_statement(table, staging))
-        connection.commit()
-    finally:
-        connection.close()
+        Pass ``partitionColumn``, ``lowerBound``, ``upperBound`` and
+        ``numPartitions`` to read it with more than one task.
+        """
+        reader = self.spark.read.format("jdbc").options(**self._login, dbtable=self.table)
+        return reader.options(**options).load()
+
+    def upsert(
+        self,
+        batch: DataFrame,
+        stream: str = "default",
+        batch_id: int | None = None,
+        key_scope: str = "table",
+        unique: bool = False,
+    ) -> None:
+        """Load a batch of valid payments and merge it in one transaction.
+
+        Merging a batch again leaves the same rows, so a replay needs no check.
+        """
+        rows = with_raw_event(batch if unique else one_row_per_key(batch))
+        writer = rows.write.format("jdbc").options(**self._login, dbtable=self.staging)
+        writer.options(batchsize="1000", truncate="true").mode("overwrite").save()
+        self._execute(merge_statement(self.table, self.staging))
+
+    def _execute(self, statement: str) -> None:
+        manager = self.spark.sparkContext._jvm.java.sql.DriverManager
+        connection = manager.getConnection(*self._login.values())
+        try:
+            connection.setAutoCommit(False)
+            connection.createStatement().executeUpdate(statement)
+            connection.commit()
+        finally:
+            connection.close()

@@ -14,13 +14,13 @@ commits the same version fails.
 import json
 import logging
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from centstream.contract import TABLE_COLUMNS, TABLE_DDL
+from centstream.contract import TABLE_COLUMNS, TABLE_DDL, VALID_COLUMNS
 from centstream.operators.quality import observed
 from centstream.operators.reports import (
     DEFAULT_RECENT,
@@ -28,7 +28,7 @@ from centstream.operators.reports import (
     recent_limit,
     recent_payments,
 )
-from centstream.operators.upsert import one_row_per_key
+from centstream.operators.upsert import one_row_per_key, with_raw_event
 
 LOGGER = logging.getLogger(__name__)
 
@@ -122,14 +122,16 @@ class PaymentsTable:
         stream: str = "default",
         batch_id: int | None = None,
         key_scope: str = WHOLE_TABLE,
+        unique: bool = False,
     ) -> TableState:
-        """Insert the batch's rows; a stored row with the same ``event_id`` is replaced.
+        """Insert valid payments; a stored row with the same ``event_id`` is replaced.
 
         A ``batch_id`` that ``stream`` has committed already changes nothing.
         ``key_scope`` says where stored copies are looked for. ``"table"`` is
         always right and reads the key column of every day. ``"day"`` reads that
         of the batch's own days only; it is right when a key's ``event_time``
-        never changes, as for plain redeliveries.
+        never changes, as for plain redeliveries. ``unique`` is for batches known
+        to hold each key once, and saves reducing them again.
         """
         before = self.state()
         if batch_id is not None and batch_id <= before.streams.get(stream, -1):
@@ -138,11 +140,15 @@ class PaymentsTable:
 
         # Writing the batch first evaluates it exactly once. All later steps read
         # the files, and a lost executor cannot make them see another result.
-        counted, watch = observed(one_row_per_key(batch.select(*TABLE_COLUMNS)), f"upsert-{stream}")
-        new = self._write_part(counted)
+        rows = batch.select(*VALID_COLUMNS)
+        rows = rows if unique else one_row_per_key(rows)
+        counted, watch = observed(rows, f"upsert-{stream}")
+        new = self._write_part(counted, with_raw_event)
+        # An empty batch may be planned away, and its counts with it.
+        seen = watch.get if new else {"rows": 0, "key_bytes": 0}
         after = before.changed(added=new)
         if new and before.days:
-            keys = self._keys(new, watch.get["key_bytes"])
+            keys = self._keys(new, seen["key_bytes"])
             scope = None if key_scope == WHOLE_TABLE else [day for _, day in new]
             stale = self._folders_holding(keys, before.folders(scope))
             if stale:
@@ -151,25 +157,26 @@ class PaymentsTable:
         if batch_id is not None:
             after.streams[stream] = batch_id
         self._commit(after)
-        LOGGER.info("stream=%s batch_id=%s rows=%s", stream, batch_id, watch.get["rows"])
+        LOGGER.info("stream=%s batch_id=%s rows=%s", stream, batch_id, seen["rows"])
         return after
 
-    def compact(self, max_loose: int = 8) -> TableState:
+    def compact(self, max_loose: int = 8, max_joined: int = 16) -> TableState:
         """Join the parts that upserts left in days with more than ``max_loose`` of them.
 
-        Parts joined before are left alone, so a row is not written again each time.
+        Parts joined before are left alone until a day has more than
+        ``max_joined``, so that a row is not written again each time.
         """
         before = self.state()
-        loose = {
-            day: [part for part in parts if part.startswith(LOOSE)]
-            for day, parts in before.days.items()
-        }
-        folders = [
-            (part, day) for day, parts in loose.items() if len(parts) > max_loose for part in parts
-        ]
+        folders = []
+        for day, parts in before.days.items():
+            loose = [part for part in parts if part.startswith(LOOSE)]
+            if len(parts) - len(loose) > max_joined:
+                folders += [(part, day) for part in parts]
+            elif len(loose) > max_loose:
+                folders += [(part, day) for part in loose]
         if not folders:
             return before
-        joined = self._write_part(self._scan(folders), JOINED)
+        joined = self._write_part(self._scan(folders), kind=JOINED)
         after = before.changed(dropped=folders, added=joined)
         self._commit(after)
         return after
@@ -198,10 +205,9 @@ class PaymentsTable:
         reader = self.spark.read.schema(STORED_DDL).option("basePath", self._data)
         return reader.parquet(*paths)
 
-    def _keys(self, folders: list[tuple[str, str]], key_bytes: int | None) -> DataFrame:
+    def _keys(self, folders: list[tuple[str, str]], key_bytes: int) -> DataFrame:
         keys = self._scan(folders).select("event_id")
-        small = key_bytes is not None and key_bytes <= MAX_BROADCAST_KEY_BYTES
-        return F.broadcast(keys) if small else keys
+        return F.broadcast(keys) if key_bytes <= MAX_BROADCAST_KEY_BYTES else keys
 
     def _folders_holding(
         self, keys: DataFrame, folders: list[tuple[str, str]]
@@ -213,22 +219,28 @@ class PaymentsTable:
         found = hits.select("part", "event_day").distinct().collect()
         return [(row.part, row.event_day.isoformat()) for row in found]
 
-    def _write_part(self, rows: DataFrame, kind: str = LOOSE) -> list[tuple[str, str]]:
+    def _write_part(
+        self,
+        rows: DataFrame,
+        finish: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+        kind: str = LOOSE,
+    ) -> list[tuple[str, str]]:
         """Write rows as a new part; the folders made.
 
         The hint gathers each day into files of the advisory size, splitting a
-        day that holds much of the data. Sorting lets readers skip row groups by
-        currency and time.
+        day that holds much of the data. ``finish`` adds columns that need not be
+        shuffled. Sorting lets readers skip row groups by currency and time.
         """
         part = f"{kind}-{uuid.uuid4().hex}"
+        day = F.to_date("event_time")
         (
-            rows.select(*TABLE_COLUMNS, F.to_date("event_time").alias("event_day"))
-            .hint("rebalance", F.col("event_day"))
+            finish(rows.withColumn("event_day", day).hint("rebalance", F.col("event_day")))
+            .select(*TABLE_COLUMNS, day.alias("event_day"))
             .sortWithinPartitions("event_day", "currency", "event_time")
             .write.partitionBy("event_day")
             .parquet(f"{self._data}/part={part}")
         )
-        return [(part, day) for day in self._children(f"{self._data}/part={part}", "event_day=")]
+        return [(part, name) for name in self._children(f"{self._data}/part={part}", "event_day=")]
 
     def _commit(self, state: TableState) -> None:
         final = self._path(self._state_path(state.version))

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from centstream.contract import REJECT_DDL
 from centstream.operators.ingest import ingest, published_events
 from centstream.operators.route import (
+    HOT_KEY_SALTS,
     WATERMARK,
     accepted,
     dedup_first,
@@ -20,11 +21,11 @@ from centstream.operators.route import (
     rejected_records,
     valid_records,
 )
-from centstream.operators.upsert import with_raw_event
 from centstream.plans.batch import check_records
 from centstream.session import build_session
 from centstream.settings import JobSettings
 from centstream.sources.bus import kafka_stream, publish_stream
+from centstream.sources.jdbc import JdbcPayments
 from centstream.sources.payments import WHOLE_TABLE, PaymentsTable
 
 LOGGER = logging.getLogger(__name__)
@@ -41,11 +42,11 @@ JSON_CLOCK = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 def start_valid(
     bus: DataFrame,
-    table: PaymentsTable,
+    table: PaymentsTable | JdbcPayments,
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
     delay: str = WATERMARK,
-    hot_key_salts: int = 0,
+    hot_key_salts: int = HOT_KEY_SALTS,
     processed_at: Column | None = None,
     key_scope: str = WHOLE_TABLE,
     tidy_every: int = 0,
@@ -59,7 +60,7 @@ def start_valid(
     valid = valid_records(check_records(bus, processed_at), delay, hot_key_salts)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(with_raw_event(batch), VALID_QUERY, batch_id, key_scope)
+        table.upsert(batch, VALID_QUERY, batch_id, key_scope, unique=True)
         _tidy(table, batch_id, tidy_every)
 
     return _start(valid.writeStream.foreachBatch(write), VALID_QUERY, checkpoint, trigger)
@@ -67,7 +68,7 @@ def start_valid(
 
 def start_valid_late_safe(
     bus: DataFrame,
-    table: PaymentsTable,
+    table: PaymentsTable | JdbcPayments,
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
     processed_at: Column | None = None,
@@ -82,8 +83,8 @@ def start_valid_late_safe(
     passed = accepted(check_records(bus, processed_at))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = with_raw_event(payment_columns(dedup_first(batch)))
-        table.upsert(rows, VALID_QUERY, batch_id, key_scope)
+        rows = payment_columns(dedup_first(batch))
+        table.upsert(rows, VALID_QUERY, batch_id, key_scope, unique=True)
         _tidy(table, batch_id, tidy_every)
 
     return _start(passed.writeStream.foreachBatch(write), VALID_QUERY, checkpoint, trigger)
@@ -139,6 +140,15 @@ def start_ingest(
     return publish_stream(published_events(ingest(bronze, keys)), servers, topic, checkpoint)
 
 
+def payments_sink(spark: SparkSession, settings: JobSettings) -> PaymentsTable | JdbcPayments:
+    """The database where one is set, else the file table."""
+    if settings.jdbc_url is None:
+        return PaymentsTable(spark, settings.table_path)
+    if settings.jdbc_user is None or settings.jdbc_password is None:
+        raise ValueError("a JDBC sink needs JDBC_USER and JDBC_PASSWORD")
+    return JdbcPayments(spark, settings.jdbc_url, settings.jdbc_user, settings.jdbc_password)
+
+
 def run(settings: JobSettings) -> None:
     """Run both queries until one of them ends, then stop all."""
     logging.basicConfig(level=settings.log_level)
@@ -148,12 +158,12 @@ def run(settings: JobSettings) -> None:
     )
     valid = start_valid(
         bus,
-        PaymentsTable(spark, settings.table_path),
+        payments_sink(spark, settings),
         f"{settings.checkpoint_root}/valid",
         delay=settings.watermark,
         hot_key_salts=settings.hot_key_salts,
         key_scope=settings.key_scope,
-        tidy_every=settings.tidy_every,
+        tidy_every=0 if settings.jdbc_url else settings.tidy_every,
     )
     rejected = start_rejected(
         bus, settings.rejected_path, f"{settings.checkpoint_root}/rejected"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from centstream.operators.route import WATERMARK, accepted, dedup_within
+from centstream.operators.route import HOT_KEY_SALTS, WATERMARK, accepted, dedup_within
 
 VIEW_DDL = (
     "window_start TIMESTAMP, currency STRING, event_count BIGINT, successful_count BIGINT, "
@@ -15,7 +15,7 @@ VIEW_DDL = (
 
 
 def live_activity(
-    enriched: DataFrame, width: str, delay: str = WATERMARK, hot_key_salts: int = 0
+    enriched: DataFrame, width: str, delay: str = WATERMARK, hot_key_salts: int = HOT_KEY_SALTS
 ) -> DataFrame:
     """Events, successes and successful amount per window of the given width."""
     unique = dedup_within(accepted(enriched), delay, hot_key_salts)

@@ -69,6 +69,10 @@ def payments_of(spark: SparkSession, sf_dir: str, deliveries=(0, 1)) -> DataFram
     return batch.payments_of(bus(spark, sf_dir, deliveries), clock())
 
 
+def table_rows(spark: SparkSession, sf_dir: str, deliveries=(0, 1)) -> DataFrame:
+    return upsert.with_raw_event(payments_of(spark, sf_dir, deliveries))
+
+
 def stored(spark: SparkSession, sf_dir: str) -> PaymentsTable:
     """Payments table of an input folder, written at first use."""
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -131,8 +135,8 @@ def dedup_first(spark, sf_dir):
 
 
 def upsert_merge(spark, sf_dir):
-    first = payments_of(spark, sf_dir, FIRST)
-    return upsert.merge_upsert(first, payments_of(spark, sf_dir, REPEAT))
+    first = table_rows(spark, sf_dir, FIRST)
+    return upsert.merge_upsert(first, table_rows(spark, sf_dir, REPEAT))
 
 
 def table_upsert(spark, sf_dir):
@@ -308,11 +312,11 @@ def stream_valid(spark, sf_dir):
 
 
 def stream_dedup(spark, sf_dir):
-    """Both deliveries in one micro-batch, with hot keys spread."""
+    """Both deliveries in one micro-batch."""
     folder, out = new_folder(spark, "bus"), new_folder(spark, "unique")
     _deliver(spark, folder, bus(spark, sf_dir))
     records = batch.check_records(file_stream(spark, folder), clock())
-    unique = route.dedup_within(route.accepted(records), hot_key_salts=4)
+    unique = route.dedup_within(route.accepted(records))
     _drain(_to_files(unique.select("event_id", "event_time"), out, new_folder(spark, "checkpoint")))
     return spark.read.parquet(out)
 
@@ -441,7 +445,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_first": dedup_first,
     "valid_records": lambda s, d: route.valid_records(checked(s, d)),
     "rejected_records": lambda s, d: route.rejected_records(checked(s, d)),
-    "raw_event_json": lambda s, d: payments_of(s, d).select("event_id", "raw_event"),
+    "raw_event_json": lambda s, d: table_rows(s, d).select("event_id", "raw_event"),
     "upsert_merge": upsert_merge,
     "table_upsert": table_upsert,
     "table_contract": table_contract,

@@ -66,7 +66,7 @@ def test_repeats_are_reduced_before_the_shuffle(spark, bus_files):
 
 
 def test_second_reduction_by_key_needs_no_shuffle(spark, bus_files):
-    rows = upsert.with_raw_event(route.valid_records(enriched(spark, bus_files)))
+    rows = route.valid_records(enriched(spark, bus_files))
     assert simple_plan_of(upsert.one_row_per_key(rows)).count("Exchange") == 1
 
 

@@ -1,9 +1,12 @@
 import pytest
 
-from centstream.contract import EVENT_COLUMNS, PAYMENT_COLUMNS, TABLE_COLUMNS
+from centstream.contract import EVENT_COLUMNS, TABLE_COLUMNS, VALID_COLUMNS
 from centstream.session import new_folder, shared_root
 from centstream.settings import JobSettings
 from centstream.sources import bus
+from centstream.sources.jdbc import JdbcPayments
+from centstream.sources.payments import PaymentsTable
+from centstream.streaming.job import payments_sink
 
 ENV = {
     "KAFKA_BOOTSTRAP_SERVERS": "broker:9092",
@@ -36,6 +39,15 @@ def test_no_password_by_default():
     assert JobSettings.from_environment(env).jdbc_password is None
 
 
+def test_sink_follows_the_settings(spark):
+    files = JobSettings.from_environment(ENV)
+    assert isinstance(payments_sink(spark, files), PaymentsTable)
+    database = JobSettings.from_environment(ENV | {"JDBC_URL": "jdbc:x", "JDBC_USER": "u"})
+    assert isinstance(payments_sink(spark, database), JdbcPayments)
+    with pytest.raises(ValueError):
+        payments_sink(spark, JobSettings.from_environment(ENV | {"JDBC_URL": "jdbc:x"}))
+
+
 def test_kafka_options():
     assert bus.kafka_options("b:1", "t") == {
         "kafka.bootstrap.servers": "b:1",
@@ -47,7 +59,7 @@ def test_kafka_options():
 
 
 def test_column_lists():
-    assert (len(EVENT_COLUMNS), len(PAYMENT_COLUMNS), len(TABLE_COLUMNS)) == (12, 14, 15)
+    assert (len(EVENT_COLUMNS), len(VALID_COLUMNS), len(TABLE_COLUMNS)) == (12, 15, 15)
     assert TABLE_COLUMNS[4] == "amount_major"
 
 

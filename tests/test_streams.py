@@ -119,7 +119,7 @@ def lay_out(topic):
     topic.put(event("e", 16, 3))
 
 
-@pytest.mark.parametrize("salts", [0, 4])
+@pytest.mark.parametrize("salts", [0, 8])
 def test_duplicates_late_rows_and_state_eviction(spark, topic, salts):
     lay_out(topic)
     enriched = check_records(records(spark, topic), clock())
@@ -134,7 +134,7 @@ def test_duplicates_late_rows_and_state_eviction(spark, topic, salts):
     assert job.progress_counts(query)["dropped_as_late"] >= 1
 
 
-@pytest.mark.parametrize("salts", [0, 4])
+@pytest.mark.parametrize("salts", [0, 8])
 def test_hot_key_in_one_batch_comes_out_once(spark, topic, salts):
     topic.put(*(event("hot", 10) for _ in range(200)), event("b", 10))
     valid = route.valid_records(check_records(records(spark, topic), clock()), hot_key_salts=salts)
