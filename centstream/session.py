@@ -15,6 +15,8 @@ BASE_CONF = {
     # Deduplication state on disk next to the executor instead of on its heap.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # A document that repeats a field is read as its last value, as JSON readers do.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 _fallback: dict[str, str] = {}
@@ -39,11 +41,14 @@ def build_session(
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach: the session's ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in local tests, is a temporary folder made.
+    Only where that is unset on a single machine, as in tests, is a temporary
+    folder made; a cluster must name one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _fallback:
         _fallback[app] = tempfile.mkdtemp(prefix="centstream-")

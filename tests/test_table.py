@@ -180,6 +180,20 @@ def test_vacuum_keeps_what_is_needed(spark, table):
     assert notes(table.read())["a"] == (10, "fourth")
 
 
+def test_a_day_with_most_of_the_rows_is_split_over_files(spark, table):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "8KB")
+    try:
+        hot = [row(f"k{i}", note=f"note {i}", minute=i % 600) for i in range(4000)]
+        rows = batch(spark, *hot, row("b", day=11)).repartition(8)
+        table.upsert(rows, unique=True)
+    finally:
+        spark.conf.unset(size)
+    files = table.read(days=["2024-01-10"]).inputFiles()
+    assert len(files) > 1
+    assert table.read().count() == 4001
+
+
 def test_days_narrow_the_read(spark, table):
     table.upsert(batch(spark, row("a"), row("b", day=11)))
     assert notes(table.read(days=["2024-01-11", "2030-01-01"])) == {"b": (11, "first")}

@@ -185,6 +185,12 @@ def test_numbers_given_as_text_are_read(spark):
     assert (row.amount_minor, row.customer_id) == (7999, "5")
 
 
+def test_last_of_a_repeated_field_counts(spark):
+    body = json.dumps(EVENT).replace('"amount": 7999', '"amount": 1, "amount": 2')
+    (row,) = ingested(spark, body)
+    assert (row.ingest_status, row.amount_minor) == ("published", 2)
+
+
 def test_expanded_customer_gives_its_id(spark):
     (row,) = ingested(spark, changed({"customer": {"id": "cus_9", "object": "customer"}}))
     assert row.customer_id == "cus_9"
