@@ -29,6 +29,7 @@ from centstream.operators.reports import (
     recent_payments,
 )
 from centstream.operators.upsert import one_row_per_key, with_raw_event
+from centstream.sources.files import Folder
 
 LOGGER = logging.getLogger(__name__)
 
@@ -75,7 +76,7 @@ class PaymentsTable:
         self.spark = spark
         self.root = root.rstrip("/")
         self._data = f"{self.root}/data"
-        self._states = f"{self.root}/state"
+        self._files = Folder(spark, self.root)
 
     # Reading
 
@@ -85,7 +86,7 @@ class PaymentsTable:
             version = max(self._versions(), default=0)
         if version == 0:
             return TableState()
-        return TableState(**json.loads(self._read_text(self._state_path(version))))
+        return TableState(**json.loads(self._files.read_text(self._state_name(version))))
 
     def read(
         self, version: int | None = None, days: Iterable[str] | None = None
@@ -189,11 +190,11 @@ class PaymentsTable:
         versions = sorted(self._versions())
         old, kept = versions[:-keep_versions], versions[-keep_versions:]
         needed = {part for v in kept for parts in self.state(v).days.values() for part in parts}
-        stale = [p for p in self._children(self._data, "part=") if p not in needed]
+        stale = [part for part in self._files.children("data", "part=") if part not in needed]
         for part in stale:
-            self._fs().delete(self._path(f"{self._data}/part={part}"), True)
+            self._files.delete(f"data/part={part}")
         for version in old:
-            self._fs().delete(self._path(self._state_path(version)), False)
+            self._files.delete(self._state_name(version))
         return len(stale)
 
     # Files
@@ -240,47 +241,17 @@ class PaymentsTable:
             .write.partitionBy("event_day")
             .parquet(f"{self._data}/part={part}")
         )
-        return [(part, name) for name in self._children(f"{self._data}/part={part}", "event_day=")]
+        return [(part, name) for name in self._files.children(f"data/part={part}", "event_day=")]
 
     def _commit(self, state: TableState) -> None:
-        final = self._path(self._state_path(state.version))
-        draft = self._path(f"{self._states}/.draft-{uuid.uuid4().hex}")
         body = {"version": state.version, "days": state.days, "streams": state.streams}
-        out = self._fs().create(draft, False)
-        try:
-            out.write(bytearray(json.dumps(body).encode()))
-        finally:
-            out.close()
-        if self._fs().exists(final) or not self._fs().rename(draft, final):
+        if not self._files.write_new(self._state_name(state.version), json.dumps(body)):
             raise RuntimeError(f"version {state.version} was committed by another writer")
 
-    def _state_path(self, version: int) -> str:
-        return f"{self._states}/{version:010d}.json"
+    @staticmethod
+    def _state_name(version: int) -> str:
+        return f"state/{version:010d}.json"
 
     def _versions(self) -> list[int]:
-        names = self._children(self._states, "")
-        return [int(name[:-5]) for name in names if name.endswith(".json") and name[0] != "."]
-
-    def _children(self, folder: str, prefix: str) -> list[str]:
-        path = self._path(folder)
-        if not self._fs().exists(path):
-            return []
-        names = [status.getPath().getName() for status in self._fs().listStatus(path)]
-        return sorted(name[len(prefix) :] for name in names if name.startswith(prefix))
-
-    def _read_text(self, path: str) -> str:
-        stream = self._fs().open(self._path(path))
-        try:
-            return self._jvm().org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def _jvm(self):
-        return self.spark.sparkContext._jvm
-
-    def _path(self, path: str):
-        return self._jvm().org.apache.hadoop.fs.Path(path)
-
-    def _fs(self):
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return self._path(self.root).getFileSystem(conf)
+        names = self._files.children("state")
+        return [int(name[:-5]) for name in names if name.endswith(".json")]

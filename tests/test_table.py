@@ -5,6 +5,8 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from centstream.contract import TABLE_COLUMNS, VALID_DDL
@@ -210,6 +212,28 @@ def test_recent_reads_only_the_days_it_needs(spark, table):
     assert table.recent("chf").count() == 0
 
 
+@settings(max_examples=6, deadline=None)
+@given(
+    st.lists(
+        st.dictionaries(st.sampled_from("abcdef"), st.integers(1, 5), max_size=4),
+        min_size=1,
+        max_size=4,
+    ),
+    st.booleans(),
+)
+def test_any_sequence_of_upserts_is_a_dictionary(spark, batches, tidy):
+    table = PaymentsTable(spark, new_folder(spark, "model"))
+    model = {}
+    for number, days in enumerate(batches):
+        table.upsert(batch(spark, *(row(k, day=d, note=str(number)) for k, d in days.items())))
+        model |= {key: (day, str(number)) for key, day in days.items()}
+        if tidy:
+            table.compact(max_loose=1)
+            table.vacuum()
+    assert notes(table.read()) == model
+    assert table.read().count() == len(model)
+
+
 def test_merge_equals_the_table(spark, table):
     old = batch(spark, row("a"), row("b"))
     new = batch(spark, row("b", day=12, note="second"), row("c"))
