@@ -30,6 +30,7 @@ from centstream.sources.payments import WHOLE_TABLE, PaymentsTable
 
 LOGGER = logging.getLogger(__name__)
 
+# Query names, under which the table also notes the last batch of each stream.
 VALID_QUERY = "valid-payments"
 REJECTED_QUERY = "rejected-records"
 
@@ -50,6 +51,7 @@ def start_valid(
     processed_at: Column | None = None,
     key_scope: str = WHOLE_TABLE,
     tidy_every: int = 0,
+    name: str = VALID_QUERY,
 ) -> StreamingQuery:
     """Upsert valid payments, first arrival within the watermark.
 
@@ -60,10 +62,10 @@ def start_valid(
     valid = valid_records(check_records(bus, processed_at), delay, hot_key_salts)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, VALID_QUERY, batch_id, key_scope, unique=True)
+        table.upsert(batch, name, batch_id, key_scope, unique=True)
         _tidy(table, batch_id, tidy_every)
 
-    return _start(valid.writeStream.foreachBatch(write), VALID_QUERY, checkpoint, trigger)
+    return _start(valid.writeStream.foreachBatch(write), name, checkpoint, trigger)
 
 
 def start_valid_late_safe(
@@ -74,6 +76,7 @@ def start_valid_late_safe(
     processed_at: Column | None = None,
     key_scope: str = WHOLE_TABLE,
     tidy_every: int = 0,
+    name: str = VALID_QUERY,
 ) -> StreamingQuery:
     """Upsert valid payments without stream state: nothing is too late.
 
@@ -84,10 +87,10 @@ def start_valid_late_safe(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = payment_columns(dedup_first(batch))
-        table.upsert(rows, VALID_QUERY, batch_id, key_scope, unique=True)
+        table.upsert(rows, name, batch_id, key_scope, unique=True)
         _tidy(table, batch_id, tidy_every)
 
-    return _start(passed.writeStream.foreachBatch(write), VALID_QUERY, checkpoint, trigger)
+    return _start(passed.writeStream.foreachBatch(write), name, checkpoint, trigger)
 
 
 def _tidy(table: PaymentsTable, batch_id: int, every: int) -> None:
@@ -102,12 +105,13 @@ def start_rejected(
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
     processed_at: Column | None = None,
+    name: str = REJECTED_QUERY,
 ) -> StreamingQuery:
     """Append refused records as JSON files, one folder per rejection date."""
     rejected = rejected_records(check_records(bus, processed_at))
     writer = rejected.writeStream.format("json").partitionBy("rejection_date")
     writer = writer.option("path", path).option("timestampFormat", JSON_CLOCK)
-    return _start(writer, REJECTED_QUERY, checkpoint, trigger)
+    return _start(writer, name, checkpoint, trigger)
 
 
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:

@@ -4,6 +4,7 @@ Payment events are derived from the whole ``events`` table. Reports read a
 payments table that Spark writes from them once per session and input folder.
 """
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -264,6 +265,11 @@ def dashboard_bundle(spark, sf_dir):
 # folder after the first run, and the query goes on from its checkpoint.
 
 
+def _query_name() -> str:
+    """A name of its own, as one may run at a time under each."""
+    return f"check-{uuid.uuid4().hex}"
+
+
 def _drain(query) -> None:
     query.awaitTermination()
 
@@ -353,6 +359,7 @@ def stream_late(spark, sf_dir):
 
 def stream_late_safe(spark, sf_dir):
     """Delayed events and repeats reach the table; a repeat overwrites."""
+    name = _query_name()
     table = PaymentsTable(spark, new_folder(spark, "payments"))
     first = bus(spark, sf_dir, FIRST)
     _two_runs(
@@ -360,31 +367,33 @@ def stream_late_safe(spark, sf_dir):
         _delayed(first, False),
         _delayed(first, True).unionByName(bus(spark, sf_dir, REPEAT)),
         lambda records, checkpoint: job.start_valid_late_safe(
-            records, table, checkpoint, job.DRAIN, clock()
+            records, table, checkpoint, job.DRAIN, clock(), name=name
         ),
     )
     return table.read()
 
 
 def stream_upsert(spark, sf_dir):
+    name = _query_name()
     table = PaymentsTable(spark, new_folder(spark, "payments"))
     _first_then_repeats(
         spark,
         sf_dir,
         lambda records, checkpoint: job.start_valid(
-            records, table, checkpoint, job.DRAIN, processed_at=clock()
+            records, table, checkpoint, job.DRAIN, processed_at=clock(), name=name
         ),
     )
     return table.read()
 
 
 def stream_rejected(spark, sf_dir):
+    name = _query_name()
     out = new_folder(spark, "rejected")
     _first_then_repeats(
         spark,
         sf_dir,
         lambda records, checkpoint: job.start_rejected(
-            records, out, checkpoint, job.DRAIN, clock()
+            records, out, checkpoint, job.DRAIN, clock(), name=name
         ),
     )
     return job.read_rejected(spark, out)
@@ -398,9 +407,21 @@ def stream_fanout(spark, sf_dir):
     records = file_stream(spark, folder)
     running = [
         job.start_valid(
-            records, table, new_folder(spark, "checkpoint"), job.DRAIN, processed_at=clock()
+            records,
+            table,
+            new_folder(spark, "checkpoint"),
+            job.DRAIN,
+            processed_at=clock(),
+            name=_query_name(),
+        ),
+        job.start_rejected(
+            records,
+            rejects,
+            new_folder(spark, "checkpoint"),
+            job.DRAIN,
+            clock(),
+            name=_query_name(),
         ),
-        job.start_rejected(records, rejects, new_folder(spark, "checkpoint"), job.DRAIN, clock()),
     ]
     for query in running:
         _drain(query)
