@@ -23,6 +23,7 @@ class JobSettings:
     hot_key_salts: int = HOT_KEY_SALTS
     key_scope: str = WHOLE_TABLE
     tidy_every: int = 100
+    late_safe: bool = False
     jdbc_url: str | None = None
     jdbc_user: str | None = None
     jdbc_password: str | None = field(default=None, repr=False)
@@ -43,6 +44,7 @@ class JobSettings:
             hot_key_salts=int(env.get("HOT_KEY_SALTS", HOT_KEY_SALTS)),
             key_scope=env.get("KEY_SCOPE", WHOLE_TABLE),
             tidy_every=int(env.get("TIDY_EVERY", "100")),
+            late_safe=env.get("LATE_SAFE", "false").lower() == "true",
             jdbc_url=env.get("JDBC_URL"),
             jdbc_user=env.get("JDBC_USER"),
             jdbc_password=env.get("JDBC_PASSWORD"),

@@ -45,7 +45,9 @@ def kafka_batch(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     return spark.read.format("kafka").options(**kafka_options(servers, topic)).load()
 
 
-def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def file_stream(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
     """Bus records archived as Parquet files, read as a stream."""
     reader = spark.readStream.schema(BUS_DDL)
     if max_files_per_trigger is not None:

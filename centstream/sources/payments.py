@@ -5,8 +5,8 @@ changed. A small state file per version lists the parts of each day, so a reader
 sees one consistent version and a new version appears in a single rename.
 
 An upsert appends the batch as a new part. Only where a key is already stored are
-the folders holding it written again without it, so the usual batch of new keys
-costs no rewrite. ``compact`` joins the small parts of a day, ``vacuum`` removes
+the files holding it written again without it and marked as replaced, so the usual
+batch of new keys costs no rewrite. ``compact`` joins the small parts of a day, ``vacuum`` removes
 the files that no kept version needs. One writer at a time; a second one that
 commits the same version fails.
 """
@@ -16,6 +16,7 @@ import logging
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,25 +49,52 @@ JOINED = "joined"
 MAX_BROADCAST_KEY_BYTES = 64 * 1024 * 1024
 
 
+class Piece(NamedTuple):
+    """One day of one part, less the files that later parts replaced."""
+
+    part: str
+    day: str
+    replaced: tuple[str, ...] = ()
+
+
+class StoredFile(NamedTuple):
+    part: str
+    day: str
+    name: str
+
+
 @dataclass(frozen=True)
 class TableState:
-    """One version: the parts of each day, and the last batch of each stream."""
+    """One version: per day its parts with their replaced files; per stream its last batch."""
 
     version: int = 0
-    days: dict[str, list[str]] = field(default_factory=dict)
+    days: dict[str, dict[str, list[str]]] = field(default_factory=dict)
     streams: dict[str, int] = field(default_factory=dict)
 
-    def folders(self, days: Iterable[str] | None = None) -> list[tuple[str, str]]:
+    def pieces(self, days: Iterable[str] | None = None) -> list[Piece]:
         wanted = self.days if days is None else [day for day in days if day in self.days]
-        return [(part, day) for day in wanted for part in self.days[day]]
+        return [
+            Piece(part, day, tuple(replaced))
+            for day in wanted
+            for part, replaced in self.days[day].items()
+        ]
 
     def changed(
-        self, dropped: Iterable[tuple[str, str]] = (), added: Iterable[tuple[str, str]] = ()
+        self,
+        added: Iterable[Piece] = (),
+        dropped: Iterable[Piece] = (),
+        replaced: Iterable[StoredFile] = (),
     ) -> "TableState":
-        gone = set(dropped)
-        days = {d: [p for p in parts if (p, d) not in gone] for d, parts in self.days.items()}
-        for part, day in added:
-            days.setdefault(day, []).append(part)
+        days = {
+            day: {part: list(files) for part, files in parts.items()}
+            for day, parts in self.days.items()
+        }
+        for file in replaced:
+            days[file.day][file.part].append(file.name)
+        for piece in dropped:
+            del days[piece.day][piece.part]
+        for piece in added:
+            days.setdefault(piece.day, {})[piece.part] = []
         kept = {day: parts for day, parts in sorted(days.items()) if parts}
         return TableState(self.version + 1, kept, dict(self.streams))
 
@@ -95,7 +123,7 @@ class PaymentsTable:
 
         ``days`` narrows it to some days without looking at the others' files.
         """
-        return self._scan(self.state(version).folders(days)).drop("part")
+        return self._scan(self.state(version).pieces(days)).drop("part")
 
     def recent(
         self, currency: str, limit: int = DEFAULT_RECENT, version: int | None = None
@@ -109,11 +137,11 @@ class PaymentsTable:
         newest_first = sorted(state.days, reverse=True)
         span, wanted = 1, recent_limit(limit)
         while span < len(newest_first):
-            tail = self._scan(state.folders(newest_first[:span]))
+            tail = self._scan(state.pieces(newest_first[:span]))
             if of_currency(tail, currency).limit(wanted).count() >= wanted:
                 break
             span *= 4
-        return recent_payments(self._scan(state.folders(newest_first[:span])), currency, limit)
+        return recent_payments(self._scan(state.pieces(newest_first[:span])), currency, limit)
 
     # Writing
 
@@ -147,14 +175,15 @@ class PaymentsTable:
         new = self._write_part(counted, with_raw_event)
         # An empty batch may be planned away, and its counts with it.
         seen = watch.get if new else {"rows": 0, "key_bytes": 0}
-        after = before.changed(added=new)
+        after = before.changed(new)
         if new and before.days:
             keys = self._keys(new, seen["key_bytes"])
-            scope = None if key_scope == WHOLE_TABLE else [day for _, day in new]
-            stale = self._folders_holding(keys, before.folders(scope))
+            scope = None if key_scope == WHOLE_TABLE else [piece.day for piece in new]
+            stale = self._files_holding(keys, before.pieces(scope))
             if stale:
-                kept = self._scan(stale).join(keys, "event_id", "left_anti")
-                after = before.changed(dropped=stale, added=[*new, *self._write_part(kept)])
+                kept = self._read_files(stale).join(keys, "event_id", "left_anti")
+                added = [*new, *self._write_part(kept)]
+                after = self._without_empty(before.changed(added, replaced=stale), stale)
         if batch_id is not None:
             after.streams[stream] = batch_id
         self._commit(after)
@@ -168,17 +197,18 @@ class PaymentsTable:
         ``max_joined``, so that a row is not written again each time.
         """
         before = self.state()
-        folders = []
-        for day, parts in before.days.items():
-            loose = [part for part in parts if part.startswith(LOOSE)]
-            if len(parts) - len(loose) > max_joined:
-                folders += [(part, day) for part in parts]
+        scattered = []
+        for day in before.days:
+            pieces = before.pieces([day])
+            loose = [piece for piece in pieces if piece.part.startswith(LOOSE)]
+            if len(pieces) - len(loose) > max_joined:
+                scattered += pieces
             elif len(loose) > max_loose:
-                folders += [(part, day) for part in loose]
-        if not folders:
+                scattered += loose
+        if not scattered:
             return before
-        joined = self._write_part(self._scan(folders), kind=JOINED)
-        after = before.changed(dropped=folders, added=joined)
+        joined = self._write_part(self._scan(scattered), kind=JOINED)
+        after = before.changed(joined, dropped=scattered)
         self._commit(after)
         return after
 
@@ -189,7 +219,7 @@ class PaymentsTable:
         """
         versions = sorted(self._versions())
         old, kept = versions[:-keep_versions], versions[-keep_versions:]
-        needed = {part for v in kept for parts in self.state(v).days.values() for part in parts}
+        needed = {piece.part for v in kept for piece in self.state(v).pieces()}
         stale = [part for part in self._files.children("data", "part=") if part not in needed]
         for part in stale:
             self._files.delete(f"data/part={part}")
@@ -199,34 +229,60 @@ class PaymentsTable:
 
     # Files
 
-    def _scan(self, folders: list[tuple[str, str]]) -> DataFrame:
-        if not folders:
+    def _scan(self, pieces: list[Piece]) -> DataFrame:
+        paths = []
+        for piece in pieces:
+            folder = f"part={piece.part}/event_day={piece.day}"
+            if piece.replaced:
+                paths += [f"{folder}/{name}" for name in self._live_files(piece)]
+            else:
+                paths.append(folder)
+        return self._read_paths(paths)
+
+    def _read_files(self, files: list[StoredFile]) -> DataFrame:
+        return self._read_paths([f"part={f.part}/event_day={f.day}/{f.name}" for f in files])
+
+    def _read_paths(self, paths: list[str]) -> DataFrame:
+        if not paths:
             return self.spark.createDataFrame([], STORED_DDL)
-        paths = [f"{self._data}/part={part}/event_day={day}" for part, day in folders]
         reader = self.spark.read.schema(STORED_DDL).option("basePath", self._data)
-        return reader.parquet(*paths)
-
-    def _keys(self, folders: list[tuple[str, str]], key_bytes: int) -> DataFrame:
-        keys = self._scan(folders).select("event_id")
+        return reader.parquet(*(f"{self._data}/{path}" for path in paths))
+
+    def _live_files(self, piece: Piece) -> list[str]:
+        names = self._files.children(f"data/part={piece.part}/event_day={piece.day}")
+        live = set(names) - set(piece.replaced)
+        return sorted(name for name in live if name.endswith(".parquet"))
+
+    def _without_empty(self, state: TableState, touched: list[StoredFile]) -> TableState:
+        """Leave out the touched pieces that have no live file any more."""
+        days, parts = {f.day for f in touched}, {f.part for f in touched}
+        for piece in state.pieces(sorted(days)):
+            if piece.part in parts and piece.replaced and not self._live_files(piece):
+                del state.days[piece.day][piece.part]
+                if not state.days[piece.day]:
+                    del state.days[piece.day]
+        return state
+
+    def _keys(self, pieces: list[Piece], key_bytes: int) -> DataFrame:
+        keys = self._scan(pieces).select("event_id")
         return F.broadcast(keys) if key_bytes <= MAX_BROADCAST_KEY_BYTES else keys
 
-    def _folders_holding(
-        self, keys: DataFrame, folders: list[tuple[str, str]]
-    ) -> list[tuple[str, str]]:
-        """Which folders store one of the keys. Reads their key column only."""
-        hits = self._scan(folders).select("event_id", "part", "event_day")
+    def _files_holding(self, keys: DataFrame, pieces: list[Piece]) -> list[StoredFile]:
+        """Which files store one of the keys. Reads their key column only."""
+        file = F.col("_metadata.file_name").alias("file")
+        hits = self._scan(pieces).select("event_id", "part", "event_day", file)
         hits = hits.join(keys, "event_id", "left_semi")
-        # At most one row per folder comes back.
-        found = hits.select("part", "event_day").distinct().collect()
-        return [(row.part, row.event_day.isoformat()) for row in found]
+        # At most one row per file comes back.
+        found = hits.select("part", "event_day", "file").distinct().collect()
+        return [StoredFile(row.part, row.event_day.isoformat(), row.file) for row in found]
 
     def _write_part(
         self,
         rows: DataFrame,
         finish: Callable[[DataFrame], DataFrame] = lambda rows: rows,
         kind: str = LOOSE,
-    ) -> list[tuple[str, str]]:
-        """Write rows as a new part; the folders made.
+    ) -> list[Piece]:
+        """Write rows as a new part; its days.
 
         The hint gathers each day into files of the advisory size, splitting a
         day that holds much of the data. ``finish`` adds columns that need not be
@@ -241,7 +297,8 @@ class PaymentsTable:
             .write.partitionBy("event_day")
             .parquet(f"{self._data}/part={part}")
         )
-        return [(part, name) for name in self._files.children(f"data/part={part}", "event_day=")]
+        days = self._files.children(f"data/part={part}", "event_day=")
+        return [Piece(part, name) for name in days]
 
     def _commit(self, state: TableState) -> None:
         body = {"version": state.version, "days": state.days, "streams": state.streams}

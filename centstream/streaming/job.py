@@ -78,7 +78,7 @@ def start_valid_late_safe(
     tidy_every: int = 0,
     name: str = VALID_QUERY,
 ) -> StreamingQuery:
-    """Upsert valid payments without stream state: nothing is too late.
+    """Upsert valid payments without stream state: no record is too late.
 
     Each micro-batch keeps the first arrival of a key; a copy in a later batch
     overwrites the stored row.
@@ -153,30 +153,44 @@ def payments_sink(spark: SparkSession, settings: JobSettings) -> PaymentsTable |
     return JdbcPayments(spark, settings.jdbc_url, settings.jdbc_user, settings.jdbc_password)
 
 
+def start_job(
+    spark: SparkSession,
+    settings: JobSettings,
+    bus: DataFrame,
+    trigger: Mapping[str, object] | None = None,
+) -> list[StreamingQuery]:
+    """Start the valid and the refused query on one source."""
+    common = {
+        "checkpoint": f"{settings.checkpoint_root}/valid",
+        "trigger": trigger,
+        "key_scope": settings.key_scope,
+        "tidy_every": 0 if settings.jdbc_url else settings.tidy_every,
+    }
+    sink = payments_sink(spark, settings)
+    if settings.late_safe:
+        valid = start_valid_late_safe(bus, sink, **common)
+    else:
+        valid = start_valid(
+            bus, sink, delay=settings.watermark, hot_key_salts=settings.hot_key_salts, **common
+        )
+    checkpoint = f"{settings.checkpoint_root}/rejected"
+    rejected = start_rejected(bus, settings.rejected_path, checkpoint, trigger)
+    LOGGER.info("started valid=%s rejected=%s", valid.id, rejected.id)
+    return [valid, rejected]
+
+
 def run(settings: JobSettings) -> None:
-    """Run both queries until one of them ends, then stop all."""
+    """Read from Kafka until one of the queries ends, then stop both."""
     logging.basicConfig(level=settings.log_level)
     spark = build_session("payment-stream")
     bus = kafka_stream(
         spark, settings.kafka_servers, settings.topic, settings.max_offsets_per_trigger
     )
-    valid = start_valid(
-        bus,
-        payments_sink(spark, settings),
-        f"{settings.checkpoint_root}/valid",
-        delay=settings.watermark,
-        hot_key_salts=settings.hot_key_salts,
-        key_scope=settings.key_scope,
-        tidy_every=0 if settings.jdbc_url else settings.tidy_every,
-    )
-    rejected = start_rejected(
-        bus, settings.rejected_path, f"{settings.checkpoint_root}/rejected"
-    )
-    LOGGER.info("started valid=%s rejected=%s", valid.id, rejected.id)
+    queries = start_job(spark, settings, bus)
     try:
         spark.streams.awaitAnyTermination()
     finally:
-        for query in spark.streams.active:
+        for query in queries:
             query.stop()
         spark.stop()
 

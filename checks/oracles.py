@@ -447,8 +447,8 @@ def sql(pads: tuple[bytes, bytes]) -> dict[str, str]:
             f"count(*), {AMOUNT} FROM payments WHERE currency = 'gbp' "
             f"AND event_time >= {AS_OF} - INTERVAL 24 HOURS "
             "GROUP BY date_trunc('hour', event_time) UNION ALL "
-            "SELECT 'recent', payment_id, CAST(NULL AS BIGINT), CAST(amount_major AS DECIMAL(38,3)) "
-            f"FROM ({RECENT})"
+            "SELECT 'recent', payment_id, CAST(NULL AS BIGINT), "
+            f"CAST(amount_major AS DECIMAL(38,3)) FROM ({RECENT})"
         ),
         "webhook_signature": _with(
             "SELECT body, sig_header, ts AS arrived_at, signature_status FROM deliveries",

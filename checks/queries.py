@@ -427,7 +427,8 @@ def stream_fanout(spark, sf_dir):
         _drain(query)
 
     def counted(name, df):
-        return df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("sink"), "row_count")
+        rows = df.agg(F.count("*").alias("row_count"))
+        return rows.select(F.lit(name).alias("sink"), "row_count")
 
     return counted("payments", table.read()).unionByName(
         counted("rejected", job.read_rejected(spark, rejects))

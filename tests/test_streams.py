@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from centstream.operators import route
 from centstream.plans.batch import check_records
 from centstream.session import new_folder
+from centstream.settings import JobSettings
 from centstream.sources.bus import file_batch, file_stream
 from centstream.sources.payments import PaymentsTable
 from centstream.streaming import job, live
@@ -226,7 +227,29 @@ def test_tidying_keeps_the_table_whole(spark, topic, table):
     checkpoint = new_folder(spark, "cp")
     drain(job.start_valid(bus, table, checkpoint, job.DRAIN, processed_at=clock(), tidy_every=10))
     assert table.read().count() == 12
-    assert len(table.state().folders()) < 12
+    assert len(table.state().pieces()) < 12
+
+
+@pytest.mark.parametrize("late_safe", [False, True])
+def test_job_runs_both_sinks_from_its_settings(spark, topic, late_safe):
+    root = new_folder(spark, "job")
+    settings = JobSettings(
+        kafka_servers="none",
+        topic="none",
+        table_path=f"{root}/payments",
+        rejected_path=f"{root}/rejected",
+        checkpoint_root=f"{root}/checkpoints",
+        late_safe=late_safe,
+    )
+    topic.put(event("a", 20), event("", 20))
+    # Spark tests lateness against the watermark of the batch before.
+    topic.put(event("a", 20))
+    topic.put(event("late", 1), event("a", 20))
+    for query in job.start_job(spark, settings, records(spark, topic), job.DRAIN):
+        drain(query)
+    stored = {r.event_id for r in PaymentsTable(spark, settings.table_path).read().collect()}
+    assert stored == ({"a", "late"} if late_safe else {"a"})
+    assert job.read_rejected(spark, settings.rejected_path).count() == 1
 
 
 def test_rejects_are_filed_by_date_with_their_trace(spark, topic):
