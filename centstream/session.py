@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
 BASE_CONF = {
     # Every clock expression here assumes UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -38,6 +40,13 @@ def build_session(
     return builder.getOrCreate()
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Refuse a session whose days and hours would not be those of UTC."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"spark.sql.session.timeZone is {zone}; set it to UTC")
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach: the session's ``spark.checkpoint.dir``.
 

@@ -19,6 +19,7 @@ class JobSettings:
     checkpoint_root: str
     log_level: str = "INFO"
     max_offsets_per_trigger: int | None = None
+    min_partitions: int | None = None
     watermark: str = WATERMARK
     hot_key_salts: int = HOT_KEY_SALTS
     key_scope: str = WHOLE_TABLE
@@ -31,7 +32,10 @@ class JobSettings:
     @classmethod
     def from_environment(cls, env: Mapping[str, str] | None = None) -> "JobSettings":
         env = os.environ if env is None else env
-        per_trigger = env.get("MAX_OFFSETS_PER_TRIGGER")
+
+        def number(name: str) -> int | None:
+            return int(env[name]) if env.get(name) else None
+
         return cls(
             kafka_servers=env["KAFKA_BOOTSTRAP_SERVERS"],
             topic=env.get("KAFKA_TOPIC", "payment_events"),
@@ -39,7 +43,8 @@ class JobSettings:
             rejected_path=env["REJECTED_PATH"],
             checkpoint_root=env["CHECKPOINT_ROOT"],
             log_level=env.get("LOG_LEVEL", "INFO").upper(),
-            max_offsets_per_trigger=int(per_trigger) if per_trigger else None,
+            max_offsets_per_trigger=number("MAX_OFFSETS_PER_TRIGGER"),
+            min_partitions=number("MIN_PARTITIONS"),
             watermark=env.get("WATERMARK", WATERMARK),
             hot_key_salts=int(env.get("HOT_KEY_SALTS", HOT_KEY_SALTS)),
             key_scope=env.get("KEY_SCOPE", WHOLE_TABLE),

@@ -18,9 +18,17 @@ PRODUCER_OPTIONS = {
 
 
 def kafka_options(
-    servers: str, topic: str, max_offsets_per_trigger: int | None = None
+    servers: str,
+    topic: str,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
-    """Reader options: from the earliest record, and never failing on expired ones."""
+    """Reader options: from the earliest record, and never failing on expired ones.
+
+    ``min_partitions`` lets Spark cut a topic partition into ranges of offsets, so
+    that the number of topic partitions does not limit the tasks, nor a full one
+    hold up the rest.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -29,20 +37,29 @@ def kafka_options(
     }
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 
 def kafka_stream(
-    spark: SparkSession, servers: str, topic: str, max_offsets_per_trigger: int | None = None
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Live bus records. Set the limit, or the first batch is the whole backlog."""
-    options = kafka_options(servers, topic, max_offsets_per_trigger)
+    options = kafka_options(servers, topic, max_offsets_per_trigger, min_partitions)
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def kafka_batch(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+def kafka_batch(
+    spark: SparkSession, servers: str, topic: str, min_partitions: int | None = None
+) -> DataFrame:
     """All bus records there are now."""
-    return spark.read.format("kafka").options(**kafka_options(servers, topic)).load()
+    options = kafka_options(servers, topic, min_partitions=min_partitions)
+    return spark.read.format("kafka").options(**options).load()
 
 
 def file_stream(

@@ -42,10 +42,12 @@ class JdbcPayments:
         password: str,
         table: str = "payments",
         staging: str = "payments_staging",
+        connections: int = 16,
     ):
         self.spark = spark
         self.table = table
         self.staging = staging
+        self.connections = connections
         self._login = {"url": url, "user": user, "password": password}
 
     def read(self, **options: str) -> DataFrame:
@@ -71,7 +73,9 @@ class JdbcPayments:
         """
         rows = with_raw_event(batch if unique else one_row_per_key(batch))
         writer = rows.write.format("jdbc").options(**self._login, dbtable=self.staging)
-        writer.options(batchsize="1000", truncate="true").mode("overwrite").save()
+        # No more tasks than this write at a time, however large the cluster is.
+        writer = writer.options(numPartitions=str(self.connections), batchsize="1000")
+        writer.option("truncate", "true").mode("overwrite").save()
         self._execute(merge_statement(self.table, self.staging))
 
     def _execute(self, statement: str) -> None:

@@ -30,6 +30,7 @@ from centstream.operators.reports import (
     recent_payments,
 )
 from centstream.operators.upsert import one_row_per_key, with_raw_event
+from centstream.session import require_utc
 from centstream.sources.files import Folder
 
 LOGGER = logging.getLogger(__name__)
@@ -101,6 +102,7 @@ class TableState:
 
 class PaymentsTable:
     def __init__(self, spark: SparkSession, root: str):
+        require_utc(spark)
         self.spark = spark
         self.root = root.rstrip("/")
         self._data = f"{self.root}/data"

@@ -184,7 +184,11 @@ def run(settings: JobSettings) -> None:
     logging.basicConfig(level=settings.log_level)
     spark = build_session("payment-stream")
     bus = kafka_stream(
-        spark, settings.kafka_servers, settings.topic, settings.max_offsets_per_trigger
+        spark,
+        settings.kafka_servers,
+        settings.topic,
+        settings.max_offsets_per_trigger,
+        settings.min_partitions,
     )
     queries = start_job(spark, settings, bus)
     try:

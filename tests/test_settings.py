@@ -55,7 +55,8 @@ def test_kafka_options():
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
     }
-    assert bus.kafka_options("b:1", "t", 10)["maxOffsetsPerTrigger"] == "10"
+    wider = bus.kafka_options("b:1", "t", 10, 400)
+    assert (wider["maxOffsetsPerTrigger"], wider["minPartitions"]) == ("10", "400")
 
 
 def test_column_lists():
@@ -63,6 +64,15 @@ def test_column_lists():
     assert TABLE_COLUMNS[4] == "amount_major"
 
 
+def test_table_refuses_another_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            PaymentsTable(spark, "/nowhere")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_session_is_utc_and_shared_folder_is_the_configured_one(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
