@@ -58,5 +58,6 @@ def column_names(ddl: str) -> list[str]:
 EVENT_COLUMNS = column_names(EVENT_DDL)
 VALID_COLUMNS = column_names(VALID_DDL)
 TABLE_COLUMNS = column_names(TABLE_DDL)
+REJECT_COLUMNS = column_names(REJECT_DDL)
 TRACE_COLUMNS = ["kafka_key", "raw_value", "kafka_timestamp", "kafka_partition", "kafka_offset"]
 ARRIVAL_ORDER = ["kafka_timestamp", "kafka_partition", "kafka_offset"]

@@ -8,12 +8,12 @@ from centstream.contract import EVENT_DDL, TRACE_COLUMNS
 
 def decode_envelope(bus: DataFrame) -> DataFrame:
     """Key and value as text, with the record's position and clock."""
-    return bus.select(
-        F.col("key").cast("string").alias("kafka_key"),
-        F.col("value").cast("string").alias("raw_value"),
-        F.col("timestamp").alias("kafka_timestamp"),
-        F.col("partition").alias("kafka_partition"),
-        F.col("offset").alias("kafka_offset"),
+    return bus.selectExpr(
+        "CAST(key AS STRING) AS kafka_key",
+        "CAST(value AS STRING) AS raw_value",
+        "timestamp AS kafka_timestamp",
+        "partition AS kafka_partition",
+        "offset AS kafka_offset",
     )
 
 

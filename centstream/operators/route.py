@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from centstream.contract import ARRIVAL_ORDER
+from centstream.contract import ARRIVAL_ORDER, REJECT_COLUMNS, VALID_COLUMNS
 
 WATERMARK = "1 day"
 
@@ -54,24 +54,8 @@ def dedup_within(
 
 
 def payment_columns(records: DataFrame) -> DataFrame:
-    """The fifteen columns of a payment."""
-    return records.select(
-        "event_id",
-        "payment_id",
-        "event_type",
-        "amount_minor",
-        "amount_major",
-        "currency",
-        "payment_status",
-        "description",
-        "customer_id",
-        "livemode",
-        "is_successful",
-        "event_time",
-        F.col("received_at_ts").alias("received_at"),
-        "processed_at",
-        "source",
-    )
+    """The columns of a payment, with the parsed arrival time in place of its text."""
+    return records.withColumn("received_at", F.col("received_at_ts")).select(*VALID_COLUMNS)
 
 
 def valid_records(
@@ -86,13 +70,5 @@ def valid_records(
 
 def rejected_records(enriched: DataFrame) -> DataFrame:
     """Refused records with their reason and where they came from. Not deduplicated."""
-    return enriched.where(~F.col("is_valid")).select(
-        F.to_date("processed_at").alias("rejection_date"),
-        "rejection_reason",
-        "raw_value",
-        "kafka_key",
-        "kafka_timestamp",
-        "kafka_partition",
-        "kafka_offset",
-        "processed_at",
-    )
+    refused = enriched.where(~F.col("is_valid"))
+    return refused.withColumn("rejection_date", F.to_date("processed_at")).select(*REJECT_COLUMNS)

@@ -3,10 +3,12 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from centstream.contract import TABLE_COLUMNS
+from centstream.contract import TABLE_COLUMNS, VALID_COLUMNS
 from centstream.functions.clock import iso_utc
 from centstream.operators.publish import KEEP_NULLS
 
+CLOCKS = ("event_time", "received_at", "processed_at")
+
 
 def with_raw_event(valid: DataFrame) -> DataFrame:
     """Rows of the payments table: the payment and its JSON rendering.
@@ -14,23 +16,9 @@ def with_raw_event(valid: DataFrame) -> DataFrame:
     Decimals become JSON strings and instants ISO text, so that nothing is
     rounded on the way.
     """
-    rendered = F.struct(
-        "event_id",
-        "payment_id",
-        "event_type",
-        "amount_minor",
-        F.col("amount_major").cast("string").alias("amount_major"),
-        "currency",
-        "payment_status",
-        "description",
-        "customer_id",
-        "livemode",
-        "is_successful",
-        iso_utc(F.col("event_time")).alias("event_time"),
-        iso_utc(F.col("received_at")).alias("received_at"),
-        iso_utc(F.col("processed_at")).alias("processed_at"),
-        "source",
-    )
+    as_text = {"amount_major": F.col("amount_major").cast("string")}
+    as_text |= {name: iso_utc(F.col(name)) for name in CLOCKS}
+    rendered = F.struct(*(as_text.get(n, F.col(n)).alias(n) for n in VALID_COLUMNS))
     return valid.withColumn("raw_event", F.to_json(rendered, KEEP_NULLS)).select(*TABLE_COLUMNS)
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from centstream.contract import PAYMENT_EVENT_TYPES, SUCCEEDED, TRACE_COLUMNS
+from centstream.contract import PAYMENT_EVENT_TYPES, SUCCEEDED
 from centstream.functions.clock import event_time, parse_iso
 from centstream.functions.currency import amount_major
 
@@ -51,25 +51,14 @@ def passes_all(rules: tuple[tuple[str, str], ...] = RULES) -> Column:
 
 def normalise(parsed: DataFrame) -> DataFrame:
     """Clean currency codes and add the typed clocks and the exact amount."""
-    currency = F.lower(F.trim("currency"))
-    return parsed.select(
-        *TRACE_COLUMNS,
-        "event_id",
-        "event_type",
-        "payment_id",
-        "amount_minor",
-        currency.alias("currency"),
-        "payment_status",
-        "description",
-        "customer_id",
-        "livemode",
-        "provider_created_at",
-        "received_at",
-        "source",
-        event_time(F.col("provider_created_at")).alias("event_time"),
-        parse_iso(F.col("received_at")).alias("received_at_ts"),
-        amount_major(F.col("amount_minor"), currency).alias("amount_major"),
-        (F.col("event_type") == SUCCEEDED).alias("is_successful"),
+    clean = parsed.withColumn("currency", F.lower(F.trim("currency")))
+    return clean.withColumns(
+        {
+            "event_time": event_time(F.col("provider_created_at")),
+            "received_at_ts": parse_iso(F.col("received_at")),
+            "amount_major": amount_major(F.col("amount_minor"), F.col("currency")),
+            "is_successful": F.col("event_type") == SUCCEEDED,
+        }
     )
 
 
