@@ -1,5 +1,6 @@
 """Small file operations on any file system Spark can reach, done on the driver."""
 
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -20,10 +21,19 @@ class Folder:
 
     def children(self, name: str, prefix: str = "") -> list[str]:
         """Names below ``name`` that start with ``prefix``, without it, in order."""
+        return sorted(self.ages(name, prefix))
+
+    def ages(self, name: str, prefix: str = "") -> dict[str, float]:
+        """Like ``children``, with the hours since each last changed."""
         if not self.exists(name):
-            return []
-        found = [status.getPath().getName() for status in self._fs.listStatus(self._path(name))]
-        return sorted(child[len(prefix) :] for child in found if child.startswith(prefix))
+            return {}
+        ages = {}
+        for status in self._fs.listStatus(self._path(name)):
+            child = status.getPath().getName()
+            if child.startswith(prefix):
+                seconds = time.time() - status.getModificationTime() / 1000
+                ages[child[len(prefix) :]] = seconds / 3600
+        return ages
 
     def read_text(self, name: str) -> str:
         stream = self._fs.open(self._path(name))

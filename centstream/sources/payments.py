@@ -113,7 +113,7 @@ class PaymentsTable:
     def state(self, version: int | None = None) -> TableState:
         """The given version, or the latest."""
         if version is None:
-            version = max(self._versions(), default=0)
+            version = max(self._version_ages(), default=0)
         if version == 0:
             return TableState()
         return TableState(**json.loads(self._files.read_text(self._state_name(version))))
@@ -214,19 +214,30 @@ class PaymentsTable:
         self._commit(after)
         return after
 
-    def vacuum(self, keep_versions: int = 2) -> int:
-        """Remove parts and states that the last ``keep_versions`` do not need.
+    def vacuum(self, keep_versions: int = 2, keep_hours: float = 24) -> int:
+        """Remove versions, and the parts only they need; the number of parts removed.
 
-        Run it from the writer, between upserts.
+        The last ``keep_versions`` stay, and any that was the latest within the
+        last ``keep_hours``, as a report may still be reading it.
         """
-        versions = sorted(self._versions())
-        old, kept = versions[:-keep_versions], versions[-keep_versions:]
-        needed = {piece.part for v in kept for piece in self.state(v).pieces()}
-        stale = [part for part in self._files.children("data", "part=") if part not in needed]
-        for part in stale:
-            self._files.delete(f"data/part={part}")
+        ages = self._version_ages()
+        versions = sorted(ages)
+        successors = zip(versions[:-keep_versions], versions[1:], strict=False)
+        old = [version for version, successor in successors if ages[successor] >= keep_hours]
+        kept = versions[len(old) :]
+        # A part that only a version between the first and the last ones kept needs
+        # was written since the first, so its age keeps it.
+        ends = {*kept[:1], *kept[-keep_versions:]}
+        needed = {piece.part for version in ends for piece in self.state(version).pieces()}
+        stale = [
+            part
+            for part, age in self._files.ages("data", "part=").items()
+            if part not in needed and age >= keep_hours
+        ]
         for version in old:
             self._files.delete(self._state_name(version))
+        for part in stale:
+            self._files.delete(f"data/part={part}")
         return len(stale)
 
     # Files
@@ -311,6 +322,6 @@ class PaymentsTable:
     def _state_name(version: int) -> str:
         return f"state/{version:010d}.json"
 
-    def _versions(self) -> list[int]:
-        names = self._files.children("state")
-        return [int(name[:-5]) for name in names if name.endswith(".json")]
+    def _version_ages(self) -> dict[int, float]:
+        ages = self._files.ages("state")
+        return {int(name[:-5]): age for name, age in ages.items() if name.endswith(".json")}

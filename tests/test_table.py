@@ -194,13 +194,24 @@ def test_compact_joins_whole_days_in_the_end(spark, table):
 def test_vacuum_keeps_what_is_needed(spark, table):
     for note in ("first", "second", "third"):
         table.upsert(batch(spark, row("a", note=note), row("b", day=11)))
-    assert table.vacuum(keep_versions=1) > 0
+    assert table.vacuum() == 0
+    assert notes(table.read(version=1))["a"] == (10, "first")
+    assert table.vacuum(keep_versions=1, keep_hours=0) > 0
     assert notes(table.read()) == {"a": (10, "third"), "b": (11, "first")}
-    assert table.vacuum(keep_versions=1) == 0
+    assert table.vacuum(keep_versions=1, keep_hours=0) == 0
     table.upsert(batch(spark, row("a", note="fourth")))
     assert notes(table.read())["a"] == (10, "fourth")
 
 
+def test_vacuum_keeps_the_asked_number_of_versions(spark, table):
+    for note in ("first", "second", "third"):
+        table.upsert(batch(spark, row("a", note=note)))
+    table.vacuum(keep_versions=2, keep_hours=0)
+    assert notes(table.read(version=2)) == {"a": (10, "second")}
+    assert sorted(table._version_ages()) == [2, 3]
+    PaymentsTable(spark, new_folder(spark, "empty")).vacuum(keep_hours=0)
+
+
 def test_a_day_with_most_of_the_rows_is_split_over_files(spark, table):
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     spark.conf.set(size, "8KB")
@@ -248,7 +259,7 @@ def test_any_sequence_of_upserts_is_a_dictionary(spark, batches, tidy):
         model |= {key: (day, str(number)) for key, day in days.items()}
         if tidy:
             table.compact(max_loose=1)
-            table.vacuum()
+            table.vacuum(keep_versions=1, keep_hours=0)
     assert notes(table.read()) == model
     assert table.read().count() == len(model)
 
