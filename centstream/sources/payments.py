@@ -280,13 +280,15 @@ class PaymentsTable:
         keys = self._scan(pieces).select("event_id")
         return F.broadcast(keys) if key_bytes <= MAX_BROADCAST_KEY_BYTES else keys
 
-    def _files_holding(self, keys: DataFrame, pieces: list[Piece]) -> list[StoredFile]:
-        """Which files store one of the keys. Reads their key column only."""
+    def _hits(self, keys: DataFrame, pieces: list[Piece]) -> DataFrame:
+        """The file of every stored key of the batch. Reads the key column only."""
         file = F.col("_metadata.file_name").alias("file")
-        hits = self._scan(pieces).select("event_id", "part", "event_day", file)
-        hits = hits.join(keys, "event_id", "left_semi")
+        stored = self._scan(pieces).select("event_id", "part", "event_day", file)
+        return stored.join(keys, "event_id", "left_semi").select("part", "event_day", "file")
+
+    def _files_holding(self, keys: DataFrame, pieces: list[Piece]) -> list[StoredFile]:
         # At most one row per file comes back.
-        found = hits.select("part", "event_day", "file").distinct().collect()
+        found = self._hits(keys, pieces).distinct().collect()
         return [StoredFile(row.part, row.event_day.isoformat(), row.file) for row in found]
 
     def _write_part(

@@ -507,10 +507,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def prepare(spark: SparkSession) -> None:
+    """UTC clocks; and on one machine, no more state partitions than it has cores.
+
+    A partition count that was set, and that of a cluster, is left alone.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    context, count = spark.sparkContext, "spark.sql.shuffle.partitions"
+    if context.master.startswith("local") and spark.conf.get(count) == "200":
+        spark.conf.set(count, str(context.defaultParallelism))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def comparable(query):
         def run(spark, sf_dir):
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            prepare(spark)
             return plain_clocks(query(spark, sf_dir))
 
         return run

@@ -102,6 +102,15 @@ def test_merge_with_a_small_batch_does_not_move_the_table(spark, sf_dir, table):
     assert "hashpartitioning" not in plan
 
 
+def test_key_lookup_reads_one_column_and_does_not_move_the_table(table):
+    pieces = table.state().pieces()
+    hits = table._hits(table._keys(pieces[:1], 1000), pieces)
+    assert "BroadcastHashJoin" in simple_plan_of(hits)
+    assert "hashpartitioning" not in simple_plan_of(hits)
+    columns = re.findall(r"ReadSchema: struct<(.*)>", plan_of(hits))
+    assert columns == ["event_id:string", "event_id:string"]
+
+
 def test_no_python_in_any_batch_plan(spark, sf_dir):
     for name, query in queries.QUERIES.items():
         if not name.startswith(("stream_", "table_upsert")):
