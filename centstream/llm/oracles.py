@@ -35,5 +35,23 @@ FROM doc LEFT JOIN hit_word USING (doc_id) LEFT JOIN hit_item USING (doc_id)
 """
 
 
+OP3 = f"""
+WITH rules(rh, rp, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+  ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+rest AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN
+    regexp_extract(substr(url, strpos(url, '://') + 3), '^[^?#]*') ELSE '' END AS r FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(r, '^[^/]*'), '{UPPER}', '{LOWER}') AS host,
+    substr(r, length(regexp_extract(r, '^[^/]*')) + 1) AS path FROM rest),
+fit AS (
+  SELECT parts.*, rh || rp AS rule, verdict, row_number() OVER (PARTITION BY page_id
+    ORDER BY length(rh || rp) DESC NULLS LAST, length(rh) DESC) AS place
+  FROM parts LEFT JOIN rules
+    ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit WHERE place = 1
+"""
+
+
 def sql() -> dict[str, str]:
-    return {"op1_benchmark_decontamination": OP1}
+    return {"op1_benchmark_decontamination": OP1, "op3_url_filter": OP3}

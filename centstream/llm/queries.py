@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from centstream.llm import decontaminate, oracles
+from centstream.llm import decontaminate, licenses, oracles, sharding, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +18,33 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.digest(scanned).drop("longest")
 
 
+#: The rules of the contract.
+URL_RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
+    return urls.judge(_table(spark, sf_dir, "pages"), rules)
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assignment(_table(spark, sf_dir, "documents"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op3_url_filter": op3_url_filter,
+    "op7_sharding": op7_sharding,
+    "op10_license_scan": op10_license_scan,
 }
 
 
