@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from centstream.llm import decontaminate, licenses, oracles, sharding, urls
+from centstream.llm import decontaminate, licenses, oracles, sharding, simhash, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"), rules)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(_table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assignment(_table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op3_url_filter": op3_url_filter,
+    "op4_simhash": op4_simhash,
     "op7_sharding": op7_sharding,
     "op10_license_scan": op10_license_scan,
 }
