@@ -3,8 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from centstream.llm import decontaminate, licenses, oracles, sharding, simhash, urls
+from centstream.llm import decontaminate, licenses, mixing, oracles, sharding, simhash, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,10 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.digest(scanned).drop("longest")
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"), F.array("source"))
+
+
 #: The rules of the contract.
 URL_RULES = (
     ("net", "/", "block"),
@@ -46,6 +51,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_source_mixing": op2_source_mixing,
     "op3_url_filter": op3_url_filter,
     "op4_simhash": op4_simhash,
     "op7_sharding": op7_sharding,
