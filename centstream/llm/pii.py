@@ -54,7 +54,7 @@ _RIGHT_OF_WORD = re.compile(rf"{_LABEL}(?:(?:{_SPELLED}){_LABEL}){{1,8}}", re.IG
 _LOOSE_IP = re.compile(
     r"(?<![0-9])[0-9]{1,3}(?:\s?(?:\.|\[\.\]|\(\.\)|\(dot\)|\[dot\])\s?[0-9]{1,3}){3}(?![0-9])"
 )
-_NUMBERS = re.compile(r"[+(]?[0-9](?:[ ().\-/]{0,3}[0-9])++")
+_NUMBERS = re.compile(r"(?<![0-9A-Za-z])[+(]?[0-9](?:[ ().\-/]{0,3}[0-9])++(?![0-9A-Za-z])")
 
 CUES = (
     "tel phone call fax mobil mail contact kontakt ip server host card visa account iban konto "

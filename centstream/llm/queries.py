@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from centstream.llm import decontaminate, licenses, mixing, oracles, pii, sharding, simhash, toxicity, urls
+from centstream.llm import decontaminate, embeddings, licenses, mixing, oracles, pii, sharding, simhash, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(_table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.scored(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_url_filter": op3_url_filter,
     "op4_simhash": op4_simhash,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_sharding": op7_sharding,
     "op8_pii": op8_pii,
