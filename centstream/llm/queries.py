@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from centstream.llm import decontaminate, embeddings, licenses, mixing, oracles, pii, sharding, simhash, toxicity, urls
+from centstream.llm import decontaminate, embeddings, licenses, lines, mixing, oracles, pii, sharding, simhash, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(docs, pii.train(docs))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(_table(spark, sf_dir, "documents"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_sharding": op7_sharding,
     "op8_pii": op8_pii,
+    "op9_line_dedup": op9_line_dedup,
     "op10_license_scan": op10_license_scan,
 }
 
