@@ -4,13 +4,13 @@ Vectors are brought to length 1 and turned by a fixed random rotation, then cut
 blocks of about ``BLOCK`` dimensions. Cosine >= c means squared distance <= 2 - 2c; if
 two vectors are that near, then in some block their squared distance is within the
 block's share of it, in proportion to its dimensions. Each block is range-joined under
-its share: the block's first coordinates are cut into strips, vectors near the border
-of a strip are also put into the next, and in a tile the rows are swept in the order of
-a coordinate. What is near enough in the block is verified with the original vectors in
+its share: the block's first coordinate is cut into strips, vectors near the upper border
+of a strip are also put into the next, and a strip's rows are swept in the order of that
+coordinate. What is near enough in the block is verified with the original vectors in
 double precision. A linked pair is counted in the one block where its share is least
-used, and in the one tile that both share farthest up, so the union holds it once.
+used, and in the strip of its upper vector, so the union holds it once.
 
-Equal vectors are one class with a count and are never paired with themselves. Tiles
+Equal vectors are one class with a count and are never paired with themselves. Strips
 with over ``TILE`` rows are dealt into chunks that meet in pairs, so no task holds more
 than two chunks. A task returns link counts and a spanning set of edges, not the pairs.
 
@@ -28,13 +28,14 @@ from centstream.llm.components import components
 from centstream.llm.store import stored
 
 COSINE = 0.95
-BLOCK = 8
-#: Coordinates of a block that are cut into strips, and their width in block radii.
-CUT = 2
+BLOCK = 16
+#: Width of a strip in block radii.
 STRIP = 3.0
-#: Rows of a tile that are swept at once, and of one step of the sweep.
-TILE = 4000
+#: Rows of a strip that are swept at once, and of one step of the sweep.
+TILE = 16_000
 STEP = 256
+#: Pairs that are verified at once.
+PART = 1 << 15
 SEED = 20240501
 #: Slack for rounding in the rotated coordinates; verification is exact.
 SLACK = 1e-4
@@ -83,7 +84,7 @@ def _placed(classes: DataFrame, cosine: float) -> DataFrame:
                 yield from _place(part, vectors, cosine)
 
     placed = classes.select("node", "n", "embedding").mapInArrow(
-        place, "node long, n long, vec binary, block int, tile string, home string"
+        place, "node long, n long, vec binary, size int, block int, tile long, home boolean"
     )
     return stored(placed, "tiles")
 
@@ -94,74 +95,80 @@ def _place(part: pa.RecordBatch, vectors: np.ndarray, cosine: float):
     data = pa.array([v.tobytes() for v in vectors], pa.binary())
     for b, (block, share) in enumerate(zip(blocks_of(size), shares, strict=True)):
         radius = float(np.sqrt(share))
-        cut = x[:, block][:, : min(CUT, block.stop - block.start)]
-        home = np.floor(cut / (STRIP * radius)).astype(int)
-        upper = np.floor((cut + radius) / (STRIP * radius)).astype(int)
-        names = [",".join(map(str, h)) for h in home.tolist()]
-        for corner in np.ndindex(*(2,) * cut.shape[1]):
-            at = np.where(np.array(corner), upper, home)
-            there = ((upper > home) | (np.array(corner) == 0)).all(axis=1)
-            rows = np.flatnonzero(there)
-            take = pa.array(rows)
-            tiles = [f"{size}:" + ",".join(map(str, t)) for t in at[rows].tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0).take(take), part.column(1).take(take), data.take(take),
-                    pa.array(np.full(len(rows), b, np.int32)), pa.array(tiles, pa.string()),
-                    pa.array([names[r] for r in rows], pa.string()),
-                ],
-                ["node", "n", "vec", "block", "tile", "home"],
-            )
+        along = x[:, block.start]
+        home = np.floor(along / (STRIP * radius)).astype(np.int64)
+        upper = np.floor((along + radius) / (STRIP * radius)).astype(np.int64)
+        again = np.flatnonzero(upper > home)
+        rows = pa.array(np.append(np.arange(len(home)), again))
+        n = len(rows)
+        yield pa.RecordBatch.from_arrays(
+            [
+                part.column(0).take(rows), part.column(1).take(rows), data.take(rows),
+                pa.array(np.full(n, size, np.int32)), pa.array(np.full(n, b, np.int32)),
+                pa.array(np.append(home, upper[again])), pa.array(np.arange(n) < len(home)),
+            ],
+            ["node", "n", "vec", "size", "block", "tile", "home"],
+        )
 
 
 def _dealt(placed: DataFrame) -> DataFrame:
-    """Rows of tiles, those of large tiles once for each pair of chunks they meet in."""
-    sizes = placed.groupBy("block", "tile").agg(F.count("*").alias("rows"))
-    sizes = sizes.select("block", "tile", F.ceil(F.col("rows") / TILE).cast("int").alias("chunks"))
+    """Rows of strips, those of large strips once for each pair of chunks they meet in."""
+    strip = ["size", "block", "tile"]
+    sizes = placed.groupBy(*strip).agg(F.count("*").alias("rows"))
+    sizes = sizes.select(*strip, F.ceil(F.col("rows") / TILE).cast("int").alias("chunks"))
     own = F.pmod(F.xxhash64("node", "block"), F.col("chunks")).cast("int")
-    rows = placed.join(sizes, ["block", "tile"]).withColumn("chunk", own)
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    rows = rows.withColumn("other", other)
+    rows = placed.join(sizes, strip).withColumn("chunk", own)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     return rows.select(
-        "node", "n", "vec", "block", "tile", "home", "chunk",
+        "node", "n", "vec", *strip, "home", "chunk",
         F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"),
     )
 
 
 def _swept(table: pa.Table, cosine: float):
-    """Pairs (i, j) of row numbers of a tile that are linked and belong to it."""
-    n = table.num_rows
-    size = int(table.column("tile")[0].as_py().partition(":")[0])
-    vectors = np.frombuffer(b"".join(table.column("vec").to_pylist()), np.float64).reshape(n, size)
-    tile = np.array(table.column("tile")[0].as_py().partition(":")[2].split(","), int)
-    home = np.array([h.split(",") for h in table.column("home").to_pylist()], int)
-    block_at = table.column("block")[0].as_py()
+    """Pairs (i, j) of row numbers of a strip that are linked and belong to it."""
+    size, at_block = table.column("size")[0].as_py(), table.column("block")[0].as_py()
+    vectors = np.frombuffer(b"".join(table.column("vec").to_pylist()), np.float64)
+    vectors = vectors.reshape(table.num_rows, size)
+    home = table.column("home").to_numpy()
     chunk = table.column("chunk").to_numpy()
     across = table.column("a")[0].as_py() != table.column("b")[0].as_py()
 
     x = turned(vectors)
     norms = np.sqrt((vectors * vectors).sum(axis=1))
     cuts, shares = blocks_of(size), _shares(size, cosine)
-    block, limit = x[:, cuts[block_at]], shares[block_at] * (1 + SLACK)
-    order = np.argsort(block[:, -1], kind="stable")
-    near, along = block[order], block[order, -1]
-    squares = (near * near).sum(axis=1)
-    ends = np.searchsorted(along, along + np.sqrt(limit), "right")
-    for at in range(0, n, STEP):
-        to = min(at + STEP, n)
-        reach = int(ends[to - 1])
-        distance = squares[at:to, None] + squares[None, at:reach] - 2 * near[at:to] @ near[at:reach].T
-        i, j = np.nonzero(distance <= limit + 1e-9)
-        i, j = order[at + i[j > i]], order[at + j[j > i]]
+    limit = shares[at_block] * (1 + SLACK) + 1e-6
+    order = np.argsort(x[:, cuts[at_block].start], kind="stable")
+    near = x[order][:, cuts[at_block]]
+    along = near[:, 0]
+    half = (near * near).sum(axis=1, keepdims=True) / 2
+    # left . right = x . y - |x|^2/2 - |y|^2/2, minus half the squared distance
+    one = np.ones_like(half)
+    left = np.concatenate([near, -half, one], axis=1).astype(np.float32)
+    right = np.concatenate([near, one, -half], axis=1).astype(np.float32)
+    uppers = np.flatnonzero(home[order])
+    for k in range(0, len(uppers), STEP):
+        rows = uppers[k : k + STEP]
+        low = int(np.searchsorted(along, along[rows[0]] - np.sqrt(limit)))
+        close = left[rows] @ right[low : rows[-1] + 1].T >= np.float32(-limit / 2)
+        j, i = np.divmod(np.flatnonzero(close.ravel()), close.shape[1])
+        i, j = low + i, rows[j]
+        i, j = order[i[i < j]], order[j[i < j]]
         if across:
-            i, j = (v[chunk[i] != chunk[j]] for v in (i, j))
-        here = (np.maximum(home[i], home[j]) == tile).all(axis=1)
-        i, j = i[here], j[here]
-        cos = (vectors[i] * vectors[j]).sum(axis=1) / (norms[i] * norms[j])
-        i, j = i[cos >= cosine], j[cos >= cosine]
-        used = np.stack([((x[i][:, c] - x[j][:, c]) ** 2).sum(axis=1) for c in cuts], 1) / shares
-        first = used.argmin(axis=1) == block_at
-        yield i[first], j[first]
+            apart = chunk[i] != chunk[j]
+            i, j = i[apart], j[apart]
+        for part in range(0, len(i), PART):
+            yield _verified(vectors, norms, x, i[part : part + PART], j[part : part + PART],
+                            cosine, cuts, shares, at_block)
+
+
+def _verified(vectors, norms, x, i, j, cosine, cuts, shares, at_block):
+    """Pairs whose cosine is high enough and whose least used share is this block's."""
+    cos = (vectors[i] * vectors[j]).sum(axis=1) / (norms[i] * norms[j])
+    i, j = i[cos >= cosine], j[cos >= cosine]
+    used = np.stack([((x[i][:, c] - x[j][:, c]) ** 2).sum(axis=1) for c in cuts], 1) / shares
+    first = used.argmin(axis=1) == at_block
+    return i[first], j[first]
 
 
 def _links(dealt: DataFrame, cosine: float) -> DataFrame:
@@ -187,7 +194,7 @@ def _links(dealt: DataFrame, cosine: float) -> DataFrame:
         roots = node[[root(k) for k in linked.tolist()]] if len(linked) else node[:0]
         return pa.table({"node": node[linked], "n_links": links[linked], "root": roots})
 
-    return dealt.groupBy("block", "tile", "a", "b").applyInArrow(
+    return dealt.groupBy("size", "block", "tile", "a", "b").applyInArrow(
         join, "node long, n_links long, root long"
     )
 
