@@ -10,8 +10,8 @@ whole corpus, then by hash. That is one order for all lines, so two similar line
 share a token among their first n - ceil(0.8 n) + 1 (prefix filter). Classes that share
 one are joined if their sizes allow it (length filter) and if what is left behind the
 shared token does (positional filter), and are then verified on all tokens. Tokens that
-very many classes share are joined with the verification inside the join, which then
-gives similar pairs only and can be split.
+very many classes share are joined with the verification inside a semi join, which
+gives each later class once, at its first match, and can be split.
 
 Range counts and the candidates' bitmap have a fixed size whatever the input.
 
@@ -29,7 +29,7 @@ from centstream.llm.store import stored
 
 SHINGLE = 5
 SIMILARITY = (4, 5)
-#: Hash ranges that tokens are counted in.
+#: Hash ranges that tokens are counted in: the upper 16 bits.
 RANGES = 1 << 16
 #: Classes of one token that are still joined before they are verified.
 PAIRED = 64
@@ -66,11 +66,16 @@ class Lines:
         token ^= token >> np.uint64(31)
         self.of, self.token = of, token * W.INVERSE
 
-    def ordered(self, counts: np.ndarray) -> None:
-        """Distinct tokens of each line, the rarest first."""
-        rare = counts[range_of(self.token)]
-        order = np.lexsort((self.token, rare, self.of))
-        of, token = self.of[order], self.token[order]
+    def ordered(self, ranks: np.ndarray) -> None:
+        """Distinct tokens of each line, the rarest first.
+
+        A token's range is its upper bits; with the range's rank in their place, tokens
+        sort by rarity and stay distinct.
+        """
+        low = np.uint64((1 << 48) - 1)
+        ranked = ranks[range_of(self.token)] << np.uint64(48) | (self.token & low)
+        order = np.lexsort((ranked, self.of))
+        of, token = self.of[order], ranked[order]
         new = np.ones(len(of), bool)
         new[1:] = (of[1:] != of[:-1]) | (token[1:] != token[:-1])
         self.of, self.token = of[new], token[new]
@@ -83,7 +88,7 @@ class Lines:
 
 
 def range_of(token: np.ndarray) -> np.ndarray:
-    return (token >> np.uint64(48)).astype(np.int64) % RANGES
+    return (token >> np.uint64(48)).astype(np.int64)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -92,8 +97,8 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def range_counts(docs: DataFrame) -> np.ndarray:
-    """Tokens of the corpus in each hash range."""
+def range_ranks(docs: DataFrame) -> np.ndarray:
+    """Rank of each hash range by the tokens of the corpus that fall in it."""
 
     def count(batches):
         total = np.zeros(RANGES, np.int64)
@@ -107,7 +112,9 @@ def range_counts(docs: DataFrame) -> np.ndarray:
     counts = np.zeros(RANGES, np.int64)
     for at, n in rows.collect():  # RANGES rows at most
         counts[at] = n
-    return counts
+    ranks = np.zeros(RANGES, np.uint64)
+    ranks[np.argsort(counts, kind="stable")] = np.arange(RANGES, dtype=np.uint64)
+    return ranks
 
 
 def _list(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -115,14 +122,14 @@ def _list(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
 
 
-def _lines(docs: DataFrame, counts) -> DataFrame:
+def _lines(docs: DataFrame, ranks) -> DataFrame:
     """A row for every line, wordless ones too, and one for each null text."""
 
     def cut(batches):
         for batch in batches:
             for part in W.pieces(batch, 2):
                 found = Lines(part.column(2))
-                found.ordered(counts.value)
+                found.ordered(ranks.value)
                 size = found.sizes
                 p = np.where(size > 0, size - (4 * size + 4) // 5 + 1, 0)
                 take = np.repeat(found.first, p) + np.arange(p.sum()) - np.repeat(np.cumsum(p) - p, p)
@@ -141,7 +148,7 @@ def _lines(docs: DataFrame, counts) -> DataFrame:
     return _texts(docs).mapInArrow(cut, LINE)
 
 
-def _tokens_of(docs: DataFrame, classes: DataFrame, counts) -> DataFrame:
+def _tokens_of(docs: DataFrame, classes: DataFrame, ranks) -> DataFrame:
     """(cls, tokens) of the wanted classes; a bitmap keeps most other lines back."""
     bit = F.pmod("cls", F.lit(BITMAP))
     pieces = (
@@ -160,7 +167,7 @@ def _tokens_of(docs: DataFrame, classes: DataFrame, counts) -> DataFrame:
         for batch in batches:
             for part in W.pieces(batch, 0):
                 found = Lines(part.column(0))
-                found.ordered(counts.value)
+                found.ordered(ranks.value)
                 at = found.cls % BITMAP
                 there = (wanted.value[at // 8] >> (at % 8).astype(np.uint8)) & 1
                 rows = np.flatnonzero((there == 1) & (found.sizes > 0))
@@ -198,17 +205,18 @@ def _similar(a: str, b: str) -> Column:
 
 def marked(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, n_lines, line, gone) of every line; null texts have line null."""
-    counts = docs.sparkSession.sparkContext.broadcast(range_counts(docs))
-    lines = stored(_lines(docs, counts), "lines")
+    ranks = docs.sparkSession.sparkContext.broadcast(range_ranks(docs))
+    lines = stored(_lines(docs, ranks), "lines")
     born = F.struct("doc_id", "text_hash", "line")
     classes = lines.filter("cls IS NOT NULL").groupBy("cls").agg(
         F.min(born).alias("born"), F.first("size").alias("size"), F.first("prefix").alias("prefix")
     )
     classes = stored(classes, "line-classes")
-    postings = classes.select("cls", "born", "size", F.posexplode("prefix").alias("place", "token"))
+    postings = classes.select("cls", F.posexplode("prefix").alias("place", "token"))
     often = postings.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
     often = stored(often, "shared-tokens")
-    shared = stored(postings.join(often, "token"), "shared-postings")
+    shared = postings.join(often, "token").join(classes.select("cls", "born", "size"), "cls")
+    shared = stored(shared, "shared-postings")
 
     few = shared.filter(F.col("n") <= PAIRED)
     a, b = few.alias("a"), few.alias("b")
@@ -218,7 +226,7 @@ def marked(docs: DataFrame) -> DataFrame:
     )
     many = shared.filter(F.col("n") > PAIRED)
     wanted = pairs.select(F.col("one").alias("cls")).unionAll(pairs.select("two")).unionAll(many.select("cls"))
-    tokens = stored(_tokens_of(docs, wanted.distinct(), counts), "line-tokens")
+    tokens = stored(_tokens_of(docs, wanted.distinct(), ranks), "line-tokens")
 
     one = tokens.select(F.col("cls").alias("one"), F.struct("tokens").alias("a"))
     two = tokens.select(F.col("cls").alias("two"), F.struct("tokens").alias("b"))
@@ -227,8 +235,8 @@ def marked(docs: DataFrame) -> DataFrame:
         full = stored(many.join(tokens, "cls"), "crowded")
         a, b = full.alias("a"), full.alias("b")
         verified = F.when(_possible("a", "b"), _similar("a", "b")).otherwise(F.lit(False))
-        met = a.join(b, (F.col("a.token") == F.col("b.token")) & verified)
-        gone = gone.unionAll(met.select(F.col("b.cls").alias("two")))
+        met = b.join(a, (F.col("a.token") == F.col("b.token")) & verified, "left_semi")
+        gone = gone.unionAll(met.select(F.col("cls").alias("two")))
     gone = gone.distinct().select(F.col("two").alias("cls"), F.lit(True).alias("late"))
     fate = stored(classes.select("cls", "born").join(gone, "cls", "left"), "line-fates")
     fate = fate.select(F.col("cls").alias("of"), "born", F.coalesce("late", F.lit(False)).alias("late"))
