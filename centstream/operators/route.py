@@ -7,8 +7,9 @@ from centstream.contract import ARRIVAL_ORDER, REJECT_COLUMNS, VALID_COLUMNS
 
 WATERMARK = "1 day"
 
-# State partitions over which a stream spreads the copies of one key.
-HOT_KEY_SALTS = 8
+# State partitions over which a stream spreads the copies of one key; 0: none. Spreading
+# can let a later copy of the same minute win, so it is off unless asked for.
+HOT_KEY_SALTS = 0
 
 
 def accepted(enriched: DataFrame) -> DataFrame:
@@ -36,10 +37,11 @@ def dedup_within(
     grow without end; a copy that comes later still is let through and absorbed
     by the upsert.
 
-    A single id may fill a large part of a micro-batch. So copies that arrive in
-    the same minute are first spread over ``hot_key_salts`` state partitions, each
-    of which lets one through, and only those meet in one place. This costs a
-    second shuffle; 0 leaves it out, for feeds whose ids hardly repeat.
+    A single id may fill a large part of a micro-batch. With ``hot_key_salts``,
+    copies that arrive in the same minute are first spread over so many state
+    partitions, each of which lets one through, and only those meet in one place.
+    This costs a second shuffle, and which copy of a minute wins is then open; use
+    it only for feeds whose copies are equal.
     """
     marked = records.withWatermark("event_time", delay)
     if hot_key_salts > 1:

@@ -5,7 +5,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from centstream.operators.route import HOT_KEY_SALTS, WATERMARK
-from centstream.sources.payments import WHOLE_TABLE
+from centstream.sources.payments import KEY_SCOPES, WHOLE_TABLE
 
 
 @dataclass(frozen=True)
@@ -29,6 +29,10 @@ class JobSettings:
     jdbc_user: str | None = None
     jdbc_password: str | None = field(default=None, repr=False)
 
+    def __post_init__(self):
+        if self.key_scope not in KEY_SCOPES:
+            raise ValueError(f"KEY_SCOPE is {self.key_scope!r}; use one of {KEY_SCOPES}")
+
     @classmethod
     def from_environment(cls, env: Mapping[str, str] | None = None) -> "JobSettings":
         env = os.environ if env is None else env

@@ -40,6 +40,7 @@ STORED_DDL = TABLE_DDL + ", part STRING, event_day DATE"
 # Where an upsert looks for an already stored copy of a key.
 WHOLE_TABLE = "table"
 SAME_DAY = "day"
+KEY_SCOPES = (WHOLE_TABLE, SAME_DAY)
 
 # Kinds of part: written by an upsert, or joined by ``compact``.
 LOOSE = "loose"
@@ -164,6 +165,8 @@ class PaymentsTable:
         never changes, as for plain redeliveries. ``unique`` is for batches known
         to hold each key once, and saves reducing them again.
         """
+        if key_scope not in KEY_SCOPES:
+            raise ValueError(f"key_scope is {key_scope!r}; use one of {KEY_SCOPES}")
         before = self.state()
         if batch_id is not None and batch_id <= before.streams.get(stream, -1):
             LOGGER.info("stream=%s batch_id=%s is stored already", stream, batch_id)
@@ -171,7 +174,9 @@ class PaymentsTable:
 
         # Writing the batch first evaluates it exactly once. All later steps read
         # the files, and a lost executor cannot make them see another result.
-        rows = batch.select(*VALID_COLUMNS)
+        missing = F.raise_error(F.lit("a payment has no event_id")).cast("string")
+        keyed = batch.withColumn("event_id", F.coalesce("event_id", missing))
+        rows = keyed.select(*VALID_COLUMNS)
         rows = rows if unique else one_row_per_key(rows)
         counted, watch = observed(rows, f"upsert-{stream}")
         new = self._write_part(counted, with_raw_event)
@@ -287,6 +292,8 @@ class PaymentsTable:
         return stored.join(keys, "event_id", "left_semi").select("part", "event_day", "file")
 
     def _files_holding(self, keys: DataFrame, pieces: list[Piece]) -> list[StoredFile]:
+        if not pieces:
+            return []
         # At most one row per file comes back.
         found = self._hits(keys, pieces).distinct().collect()
         return [StoredFile(row.part, row.event_day.isoformat(), row.file) for row in found]

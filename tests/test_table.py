@@ -80,6 +80,23 @@ def test_same_day_scope_looks_at_the_days_of_the_batch(spark, table):
     assert notes(table.read()) == {"a": (10, "second"), "b": (10, "first")}
 
 
+def test_same_day_scope_takes_a_batch_of_new_days(spark, table):
+    table.upsert(batch(spark, row("a")))
+    table.upsert(batch(spark, row("b", day=20)), key_scope=SAME_DAY)
+    assert notes(table.read()) == {"a": (10, "first"), "b": (20, "first")}
+
+
+def test_unknown_scope_is_refused(spark, table):
+    with pytest.raises(ValueError, match="key_scope"):
+        table.upsert(batch(spark, row("a")), key_scope="Table")
+
+
+def test_payment_without_a_key_is_refused(spark, table):
+    with pytest.raises(Exception, match="no event_id"):
+        table.upsert(batch(spark, row("a"), row(None)))
+    assert table.state().days == {}
+
+
 def test_new_keys_rewrite_nothing(spark, table):
     table.upsert(batch(spark, row("a")))
     before = table.state().pieces()
