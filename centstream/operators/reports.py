@@ -16,6 +16,7 @@ from centstream.functions.currency import (
     success_rate,
 )
 
+#: Rows that the recent-payments report gives at most, unless a ceiling is passed in.
 MAX_RECENT = 100
 DEFAULT_RECENT = 25
 RECENT_COLUMNS = [
@@ -163,17 +164,19 @@ def register_daily_summary(payments: DataFrame, name: str = "payment_daily_summa
     daily_summary(payments).createOrReplaceTempView(name)
 
 
-def recent_limit(requested: int) -> int:
-    """Row count of the recent-payments report, held between 1 and 100."""
-    return min(max(requested, 1), MAX_RECENT)
+def recent_limit(requested: int, ceiling: int = MAX_RECENT) -> int:
+    """Row count of the recent-payments report, at least 1; more than ``ceiling`` is refused."""
+    if requested > ceiling:
+        raise ValueError(f"{requested} recent payments are asked for; the ceiling is {ceiling}")
+    return max(requested, 1)
 
 
 def recent_payments(
-    payments: DataFrame, currency: str, limit: int = DEFAULT_RECENT
+    payments: DataFrame, currency: str, limit: int = DEFAULT_RECENT, ceiling: int = MAX_RECENT
 ) -> DataFrame:
     """Latest payments of one currency; ties on time go by ``event_id``."""
     newest = of_currency(payments, currency).orderBy(F.desc("event_time"), "event_id")
-    return newest.limit(recent_limit(limit)).select(*RECENT_COLUMNS)
+    return newest.limit(recent_limit(limit, ceiling)).select(*RECENT_COLUMNS)
 
 
 def recent_display(recent: DataFrame, currency: str) -> DataFrame:

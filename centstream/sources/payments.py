@@ -25,6 +25,7 @@ from centstream.contract import TABLE_COLUMNS, TABLE_DDL, VALID_COLUMNS
 from centstream.operators.quality import observed
 from centstream.operators.reports import (
     DEFAULT_RECENT,
+    MAX_RECENT,
     of_currency,
     recent_limit,
     recent_payments,
@@ -129,7 +130,11 @@ class PaymentsTable:
         return self._scan(self.state(version).pieces(days)).drop("part")
 
     def recent(
-        self, currency: str, limit: int = DEFAULT_RECENT, version: int | None = None
+        self,
+        currency: str,
+        limit: int = DEFAULT_RECENT,
+        version: int | None = None,
+        ceiling: int = MAX_RECENT,
     ) -> DataFrame:
         """Latest payments of a currency, reading only as many days as needed.
 
@@ -138,13 +143,14 @@ class PaymentsTable:
         """
         state = self.state(version)
         newest_first = sorted(state.days, reverse=True)
-        span, wanted = 1, recent_limit(limit)
+        span, wanted = 1, recent_limit(limit, ceiling)
         while span < len(newest_first):
             tail = self._scan(state.pieces(newest_first[:span]))
             if of_currency(tail, currency).limit(wanted).count() >= wanted:
                 break
             span *= 4
-        return recent_payments(self._scan(state.pieces(newest_first[:span])), currency, limit)
+        found = self._scan(state.pieces(newest_first[:span]))
+        return recent_payments(found, currency, limit, ceiling)
 
     # Writing
 

@@ -117,11 +117,17 @@ def test_daily_summary_view(spark, payments):
     ]
 
 
-@pytest.mark.parametrize("asked, given", [(-5, 1), (0, 1), (25, 25), (100, 100), (101, 100)])
+@pytest.mark.parametrize("asked, given", [(-5, 1), (0, 1), (25, 25), (100, 100)])
 def test_recent_limit(asked, given):
     assert reports.recent_limit(asked) == given
 
 
+def test_more_recent_payments_than_the_ceiling_are_refused():
+    with pytest.raises(ValueError, match="ceiling"):
+        reports.recent_limit(101)
+    assert reports.recent_limit(500, ceiling=500) == 500
+
+
 def test_recent_payments_break_ties_by_id(payments):
     got = reports.recent_payments(payments, "gbp", 3)
     assert got.columns == reports.RECENT_COLUMNS
