@@ -11,7 +11,7 @@ SEPARATOR = "; "
 
 _TYPES = ", ".join(f"'{name}'" for name in PAYMENT_EVENT_TYPES)
 
-# Reason text and the SQL condition under which it applies, in report order.
+# The reason texts. Each with the SQL condition under which it applies, in report order.
 # The conditions read the normalised columns made by ``normalise``. ``trim``
 # strips blanks only, so a tab is not an empty value.
 RULES: tuple[tuple[str, str], ...] = (

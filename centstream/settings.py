@@ -4,7 +4,7 @@ import os
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from centstream.operators.route import HOT_KEY_SALTS, WATERMARK
+from centstream.operators.route import WATERMARK
 from centstream.sources.payments import KEY_SCOPES, WHOLE_TABLE
 
 
@@ -21,7 +21,7 @@ class JobSettings:
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
     watermark: str = WATERMARK
-    hot_key_salts: int = HOT_KEY_SALTS
+    shuffle_partitions: int | None = None
     key_scope: str = WHOLE_TABLE
     tidy_every: int = 100
     late_safe: bool = False
@@ -50,7 +50,7 @@ class JobSettings:
             max_offsets_per_trigger=number("MAX_OFFSETS_PER_TRIGGER"),
             min_partitions=number("MIN_PARTITIONS"),
             watermark=env.get("WATERMARK", WATERMARK),
-            hot_key_salts=int(env.get("HOT_KEY_SALTS", HOT_KEY_SALTS)),
+            shuffle_partitions=number("SHUFFLE_PARTITIONS"),
             key_scope=env.get("KEY_SCOPE", WHOLE_TABLE),
             tidy_every=int(env.get("TIDY_EVERY", "100")),
             late_safe=env.get("LATE_SAFE", "false").lower() == "true",

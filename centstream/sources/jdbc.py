@@ -7,14 +7,49 @@ payments table, so a batch appears whole or not at all.
 from pyspark.sql import DataFrame, SparkSession
 
 from centstream.contract import TABLE_COLUMNS
+from centstream.operators.quality import NOT_NEGATIVE, NOT_NULL
 from centstream.operators.upsert import one_row_per_key, with_raw_event
 
 JSON_COLUMN = "raw_event"
 
+#: Column types of the payments table in the database; the rest are TEXT.
+COLUMN_TYPES = {
+    "amount_minor": "BIGINT",
+    "amount_major": "DECIMAL(18,3)",
+    "currency": "VARCHAR(3)",
+    "livemode": "BOOLEAN",
+    "is_successful": "BOOLEAN",
+    "event_time": "TIMESTAMPTZ",
+    "received_at": "TIMESTAMPTZ",
+    "processed_at": "TIMESTAMPTZ",
+}
+#: Columns that the reports filter by, an index each.
+INDEXED = (("event_time",), ("currency", "event_time"), ("payment_status",))
 
-def merge_statement(table: str, staging: str, json_type: str | None = "JSONB") -> str:
+
+def table_statements(table: str = "payments", json_type: str = "JSONB") -> list[str]:
+    """DDL of the payments table: the key that merges need, its checks and its indexes."""
+    types = COLUMN_TYPES | {JSON_COLUMN: json_type}
+    columns = []
+    for name in TABLE_COLUMNS:
+        rules = " PRIMARY KEY" if name == "event_id" else " NOT NULL" if name in NOT_NULL else ""
+        rules += f" CHECK ({name} >= 0)" if name in NOT_NEGATIVE else ""
+        columns.append(f"{name} {types.get(name, 'TEXT')}{rules}")
+    made = [f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)})"]
+    for names in INDEXED:
+        index = f"{table}_by_{'_'.join(names)}"
+        made.append(f"CREATE INDEX IF NOT EXISTS {index} ON {table} ({', '.join(names)})")
+    return made
+
+
+def merge_statement(
+    table: str, staging: str, json_type: str | None = "JSONB", first_wins: str | None = None
+) -> str:
     """``INSERT ... ON CONFLICT`` that overwrites every column but the key.
 
+    With ``first_wins``, an interval, the stored row stays unless the new one's event
+    time is that much later.
+
     DISTINCT, because a staging task that is run again after its commit leaves
     exact copies behind, and a key may be touched only once per statement.
     """
@@ -28,6 +63,11 @@ def merge_statement(table: str, staging: str, json_type: str | None = "JSONB") -
         f"INSERT INTO {table} ({names}) "
         f"SELECT {values} FROM (SELECT DISTINCT {names} FROM {staging}) AS staged "
         f"ON CONFLICT (event_id) DO UPDATE SET {updates}"
+        + (
+            f" WHERE EXCLUDED.event_time >= {table}.event_time + INTERVAL '{first_wins}'"
+            if first_wins
+            else ""
+        )
     )
 
 
@@ -43,11 +83,13 @@ class JdbcPayments:
         table: str = "payments",
         staging: str = "payments_staging",
         connections: int = 16,
+        connect_seconds: int = 10,
     ):
         self.spark = spark
         self.table = table
         self.staging = staging
         self.connections = connections
+        self.connect_seconds = connect_seconds
         self._login = {"url": url, "user": user, "password": password}
 
     def read(self, **options: str) -> DataFrame:
@@ -59,6 +101,10 @@ class JdbcPayments:
         reader = self.spark.read.format("jdbc").options(**self._login, dbtable=self.table)
         return reader.options(**options).load()
 
+    def create(self) -> None:
+        """Make the payments table and its indexes where they are missing."""
+        self._execute(*table_statements(self.table))
+
     def upsert(
         self,
         batch: DataFrame,
@@ -66,6 +112,7 @@ class JdbcPayments:
         batch_id: int | None = None,
         key_scope: str = "table",
         unique: bool = False,
+        first_wins: str | None = None,
     ) -> None:
         """Load a batch of valid payments and merge it in one transaction.
 
@@ -76,14 +123,17 @@ class JdbcPayments:
         # No more tasks than this write at a time, however large the cluster is.
         writer = writer.options(numPartitions=str(self.connections), batchsize="1000")
         writer.option("truncate", "true").mode("overwrite").save()
-        self._execute(merge_statement(self.table, self.staging))
+        self._execute(merge_statement(self.table, self.staging, first_wins=first_wins))
 
-    def _execute(self, statement: str) -> None:
+    def _execute(self, *statements: str) -> None:
+        """Run statements in one transaction."""
         manager = self.spark.sparkContext._jvm.java.sql.DriverManager
+        manager.setLoginTimeout(self.connect_seconds)
         connection = manager.getConnection(*self._login.values())
         try:
             connection.setAutoCommit(False)
-            connection.createStatement().executeUpdate(statement)
+            for statement in statements:
+                connection.createStatement().executeUpdate(statement)
             connection.commit()
         finally:
             connection.close()

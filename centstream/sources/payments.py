@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from centstream.contract import TABLE_COLUMNS, TABLE_DDL, VALID_COLUMNS
@@ -37,6 +37,7 @@ from centstream.sources.files import Folder
 LOGGER = logging.getLogger(__name__)
 
 STORED_DDL = TABLE_DDL + ", part STRING, event_day DATE"
+MET_DDL = "event_id STRING, part STRING, event_day DATE, file STRING, copy BOOLEAN"
 
 # Where an upsert looks for an already stored copy of a key.
 WHOLE_TABLE = "table"
@@ -161,9 +162,13 @@ class PaymentsTable:
         batch_id: int | None = None,
         key_scope: str = WHOLE_TABLE,
         unique: bool = False,
+        first_wins: str | None = None,
     ) -> TableState:
         """Insert valid payments; a stored row with the same ``event_id`` is replaced.
 
+        With ``first_wins``, an interval such as ``"1 day"``, the stored row stays
+        instead, unless the new one's event time is that much later.
+
         A ``batch_id`` that ``stream`` has committed already changes nothing.
         ``key_scope`` says where stored copies are looked for. ``"table"`` is
         always right and reads the key column of every day. ``"day"`` reads that
@@ -190,10 +195,15 @@ class PaymentsTable:
         seen = watch.get if new else {"rows": 0, "key_bytes": 0}
         after = before.changed(new)
         if new and before.days:
-            keys = self._keys(new, seen["key_bytes"])
             scope = None if key_scope == WHOLE_TABLE else [piece.day for piece in new]
-            stale = self._files_holding(keys, before.pieces(scope))
+            old = before.pieces(scope)
+            if first_wins:
+                new, stale = self._later_than_stored(new, seen["key_bytes"], old, first_wins)
+                after = before.changed(new)
+            else:
+                stale = self._files_holding(self._keys(new, seen["key_bytes"]), old)
             if stale:
+                keys = self._keys(new, seen["key_bytes"])
                 kept = self._read_files(stale).join(keys, "event_id", "left_anti")
                 added = [*new, *self._write_part(kept)]
                 after = self._without_empty(before.changed(added, replaced=stale), stale)
@@ -287,8 +297,8 @@ class PaymentsTable:
                     del state.days[piece.day]
         return state
 
-    def _keys(self, pieces: list[Piece], key_bytes: int) -> DataFrame:
-        keys = self._scan(pieces).select("event_id")
+    def _keys(self, pieces: list[Piece], key_bytes: int, *more: Column) -> DataFrame:
+        keys = self._scan(pieces).select("event_id", *more)
         return F.broadcast(keys) if key_bytes <= MAX_BROADCAST_KEY_BYTES else keys
 
     def _hits(self, keys: DataFrame, pieces: list[Piece]) -> DataFrame:
@@ -304,6 +314,34 @@ class PaymentsTable:
         found = self._hits(keys, pieces).distinct().collect()
         return [StoredFile(row.part, row.event_day.isoformat(), row.file) for row in found]
 
+    def _later_than_stored(
+        self, new: list[Piece], key_bytes: int, old: list[Piece], within: str
+    ) -> tuple[list[Piece], list[StoredFile]]:
+        """The new part without copies of stored rows, and the files that it replaces rows of.
+
+        The stored keys are read once: what they meet, at most one row per key of the
+        batch, is written before it is used twice.
+        """
+        if not old:
+            return new, []
+        keys = self._keys(new, key_bytes, F.col("event_time").alias("again_at"))
+        file = F.col("_metadata.file_name").alias("file")
+        stored = self._scan(old).select("event_id", "event_time", "part", "event_day", file)
+        copy = F.col("again_at") < F.col("event_time") + F.expr(f"INTERVAL '{within}'")
+        folder = f"scratch/{uuid.uuid4().hex}"
+        stored.join(keys, "event_id").select(
+            "event_id", "part", "event_day", "file", copy.alias("copy")
+        ).write.parquet(f"{self.root}/{folder}")
+        met = self.spark.read.schema(MET_DDL).parquet(f"{self.root}/{folder}")
+        copies = met.where("copy").select("event_id")
+        if not copies.isEmpty():
+            unseen = self._scan(new).join(copies, "event_id", "left_anti")
+            first, new = new[0].part, self._write_part(unseen)
+            self._files.delete(f"data/part={first}")
+        stale = met.where("NOT copy").select("part", "event_day", "file").distinct().collect()
+        self._files.delete(folder)
+        return new, [StoredFile(row.part, row.event_day.isoformat(), row.file) for row in stale]
+
     def _write_part(
         self,
         rows: DataFrame,

@@ -13,13 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 from centstream.contract import REJECT_DDL
 from centstream.operators.ingest import ingest, published_events
 from centstream.operators.route import (
-    HOT_KEY_SALTS,
     WATERMARK,
     accepted,
     dedup_first,
     payment_columns,
     rejected_records,
-    valid_records,
 )
 from centstream.plans.batch import check_records
 from centstream.session import build_session
@@ -47,25 +45,26 @@ def start_valid(
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
     delay: str = WATERMARK,
-    hot_key_salts: int = HOT_KEY_SALTS,
     processed_at: Column | None = None,
     key_scope: str = WHOLE_TABLE,
     tidy_every: int = 0,
     name: str = VALID_QUERY,
 ) -> StreamingQuery:
-    """Upsert valid payments, first arrival within the watermark.
+    """Store the first arrival of every key; no record is too late.
 
-    A payment older than the watermark is dropped and shows only in the count of
-    ``dropped_as_late``; ``start_valid_late_safe`` keeps it. Every ``tidy_every``
-    batches the table's small parts are joined and unneeded files removed.
+    Each micro-batch is reduced by arrival order, whatever its partitions, and then
+    decided against the stored keys: a copy less than ``delay`` after the stored
+    row is dropped, a later one overwrites. The table is the state. Every
+    ``tidy_every`` batches its small parts are joined and unneeded files removed.
     """
-    valid = valid_records(check_records(bus, processed_at), delay, hot_key_salts)
+    passed = accepted(check_records(bus, processed_at))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, name, batch_id, key_scope, unique=True)
+        rows = payment_columns(dedup_first(batch))
+        table.upsert(rows, name, batch_id, key_scope, unique=True, first_wins=delay)
         _tidy(table, batch_id, tidy_every)
 
-    return _start(valid.writeStream.foreachBatch(write), name, checkpoint, trigger)
+    return _start(passed.writeStream.foreachBatch(write), name, checkpoint, trigger)
 
 
 def start_valid_late_safe(
@@ -78,11 +77,7 @@ def start_valid_late_safe(
     tidy_every: int = 0,
     name: str = VALID_QUERY,
 ) -> StreamingQuery:
-    """Upsert valid payments without stream state: no record is too late.
-
-    Each micro-batch keeps the first arrival of a key; a copy in a later batch
-    overwrites the stored row.
-    """
+    """Like ``start_valid``, but a copy in a later batch always overwrites the stored row."""
     passed = accepted(check_records(bus, processed_at))
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -170,9 +165,7 @@ def start_job(
     if settings.late_safe:
         valid = start_valid_late_safe(bus, sink, **common)
     else:
-        valid = start_valid(
-            bus, sink, delay=settings.watermark, hot_key_salts=settings.hot_key_salts, **common
-        )
+        valid = start_valid(bus, sink, delay=settings.watermark, **common)
     checkpoint = f"{settings.checkpoint_root}/rejected"
     rejected = start_rejected(bus, settings.rejected_path, checkpoint, trigger)
     LOGGER.info("started valid=%s rejected=%s", valid.id, rejected.id)
@@ -182,7 +175,7 @@ def start_job(
 def run(settings: JobSettings) -> None:
     """Read from Kafka until one of the queries ends, then stop both."""
     logging.basicConfig(level=settings.log_level)
-    spark = build_session("payment-stream")
+    spark = build_session("payment-stream", settings.shuffle_partitions)
     bus = kafka_stream(
         spark,
         settings.kafka_servers,

@@ -35,7 +35,7 @@ def difference(spark, name: str, sf_dir: str) -> str | None:
     """What differs, or None."""
     frame = registered.queries()[name](spark, sf_dir)
     got_names, got = canonical(frame.columns, [tuple(row) for row in frame.collect()])
-    names, want = canonical(*oracle_rows(sf_dir, oracles.sql(registered.PADS)[name]))
+    names, want = canonical(*oracle_rows(sf_dir, oracles.sql()[name]))
     if got_names != names:
         return f"columns {got_names} are not {names}"
     if len(got) != len(want):

@@ -6,12 +6,28 @@ parsed and validated ones, ``payments`` the table. ``_with`` puts them before a
 query.
 """
 
-from centstream.functions.currency import THREE_DECIMAL, ZERO_DECIMAL
-
 CLOCK = "TIMESTAMP '2024-02-01 00:00:00'"
 AS_OF = "TIMESTAMP '2024-01-30 12:00:00'"
 
 
+# Currencies without, and with three, decimal places; and the secret that
+# the deliveries are signed with. Given anew here, so that an error in the package shows.
+ZERO_DECIMAL = (
+    "bif", "clp", "djf", "gnf", "jpy", "kmf", "krw", "mga",
+    "pyg", "rwf", "ugx", "vnd", "vuv", "xaf", "xof", "xpf",
+)
+THREE_DECIMAL = ("bhd", "jod", "kwd", "omr", "tnd")
+SECRET = b"whsec_fixture_only"
+HASH_BLOCK = 64
+
+
+def _pad(value: int) -> bytes:
+    """The secret, filled up to a hash block, xored with a byte (RFC 2104)."""
+    repeated = int.from_bytes(bytes([value]) * HASH_BLOCK, "big")
+    secret = int.from_bytes(SECRET, "big") << 8 * (HASH_BLOCK - len(SECRET))
+    return (secret ^ repeated).to_bytes(HASH_BLOCK, "big")
+
+
 def _list(values) -> str:
     return ", ".join(f"'{value}'" for value in values)
 
@@ -251,9 +267,9 @@ loose AS (
 )"""
 
 
-def _webhook(pads: tuple[bytes, bytes]) -> str:
+def _webhook() -> str:
     """Signed deliveries, and what becomes of each."""
-    ipad, opad = (f"unhex('{bytes(pad).hex()}')" for pad in pads)
+    ipad, opad = (f"unhex('{_pad(value).hex()}')" for value in (0x36, 0x5C))
 
     def document(payment: str) -> str:
         return (
@@ -347,9 +363,9 @@ SELECT CAST(event_time AS DATE) AS event_day,
 FROM accepted GROUP BY ALL"""
 
 
-def sql(pads: tuple[bytes, bytes]) -> dict[str, str]:
-    """Oracle per query name. ``pads`` are the HMAC pads of the fixture's secret."""
-    webhook = _webhook(pads)
+def sql() -> dict[str, str]:
+    """Oracle per query name."""
+    webhook = _webhook()
     trace = "kafka_key, raw_value, kafka_timestamp, kafka_partition, kafka_offset"
     valid = f"SELECT {VALID_COLUMNS} FROM payments"
     table = f"SELECT {TABLE_COLUMNS}, event_day"
@@ -468,7 +484,7 @@ def sql(pads: tuple[bytes, bytes]) -> dict[str, str]:
         "stream_ingest": published,
         "contract_check": _with(CONTRACT_CHECK, TYPED),
         "stream_valid": _stored(valid),
-        "stream_dedup": _stored("SELECT event_id, event_time FROM payments"),
+        "stream_dedup": _stored(f"{table} FROM payments"),
         "stream_late": _stored("").rstrip() + STREAM_LATE,
         "stream_late_safe": merged_table,
         "stream_upsert": _stored(f"{table} FROM payments"),

@@ -14,7 +14,7 @@ from pyspark.sql.types import TimestampType
 
 from centstream.contract import BRONZE_DDL, EVENT_COLUMNS, TRACE_COLUMNS
 from centstream.functions import currency as money
-from centstream.functions.signature import key_pads, signing_keys
+from centstream.functions.signature import signing_keys
 from centstream.operators import ingest, quality, reports, route, upsert, validate
 from centstream.operators.parse import decode_envelope, parse_contract
 from centstream.operators.publish import KEEP_NULLS, publish_records
@@ -26,7 +26,6 @@ from centstream.sources.payments import PaymentsTable
 from centstream.streaming import job, live
 
 SECRET = "whsec_fixture_only"
-PADS = key_pads(SECRET)
 AS_OF = datetime(2024, 1, 30, 12)
 FIRST, REPEAT = (0,), (1,)
 
@@ -318,13 +317,13 @@ def stream_valid(spark, sf_dir):
 
 
 def stream_dedup(spark, sf_dir):
-    """Both deliveries in one micro-batch."""
-    folder, out = new_folder(spark, "bus"), new_folder(spark, "unique")
-    _deliver(spark, folder, bus(spark, sf_dir))
-    records = batch.check_records(file_stream(spark, folder), clock())
-    unique = route.dedup_within(route.accepted(records))
-    _drain(_to_files(unique.select("event_id", "event_time"), out, new_folder(spark, "checkpoint")))
-    return spark.read.parquet(out)
+    """Both deliveries in one micro-batch, over many partitions; all columns of the winner."""
+    folder, name = new_folder(spark, "bus"), _query_name()
+    table = PaymentsTable(spark, new_folder(spark, "payments"))
+    _deliver(spark, folder, bus(spark, sf_dir).repartition(16))
+    records, checkpoint = file_stream(spark, folder), new_folder(spark, "checkpoint")
+    _drain(job.start_valid(records, table, checkpoint, job.DRAIN, processed_at=clock(), name=name))
+    return table.read()
 
 
 def _delayed(records: DataFrame, delayed: bool) -> DataFrame:

@@ -1,12 +1,12 @@
 """The merge statement, run on an in-memory table."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import duckdb
 import pytest
 
 from centstream.contract import TABLE_COLUMNS
-from centstream.sources.jdbc import merge_statement
+from centstream.sources.jdbc import merge_statement, table_statements
 
 DDL = (
     "event_id TEXT {key}, payment_id TEXT, event_type TEXT, amount_minor BIGINT, "
@@ -17,8 +17,9 @@ DDL = (
 NOW = datetime(2024, 1, 1)
 
 
-def row(key, note):
-    return (key, "p", "t", 1, 1, "gbp", "s", note, None, True, True, NOW, NOW, NOW, "{}")
+def row(key, note, hours=0, minor=1):
+    at = NOW + timedelta(hours=hours)
+    return (key, "p", "t", minor, 1, "gbp", "s", note, None, True, True, at, NOW, NOW, "{}")
 
 
 @pytest.fixture
@@ -29,10 +30,10 @@ def db():
         yield connection
 
 
-def merge(db, *rows):
+def merge(db, *rows, first_wins=None):
     db.execute("DELETE FROM staging")
     db.executemany(f"INSERT INTO staging VALUES ({', '.join('?' * len(TABLE_COLUMNS))})", rows)
-    db.execute(merge_statement("payments", "staging", "JSON"))
+    db.execute(merge_statement("payments", "staging", "JSON", first_wins))
     return dict(db.execute("SELECT event_id, description FROM payments").fetchall())
 
 
@@ -51,3 +52,22 @@ def test_exact_copies_in_staging_are_harmless(db):
 
 def test_json_type_is_cast():
     assert "CAST(raw_event AS JSONB)" in merge_statement("payments", "staging")
+
+
+def test_stored_row_stays_until_the_delay_has_passed(db):
+    merge(db, row("a", "first"), row("b", "first"), first_wins="1 day")
+    later = merge(db, row("a", "second", 23), row("b", "second", 24), first_wins="1 day")
+    assert later == {"a": "first", "b": "second"}
+
+
+def test_table_has_the_key_that_merging_needs_and_its_checks():
+    with duckdb.connect() as connection:
+        for statement in table_statements("payments", "JSON") * 2:
+            connection.execute(statement)
+        connection.execute("CREATE TABLE staging AS SELECT * FROM payments")
+        assert merge(connection, row("a", "first")) == {"a": "first"}
+        assert merge(connection, row("a", "second")) == {"a": "second"}
+        with pytest.raises(duckdb.ConstraintException):
+            merge(connection, row("b", "first", minor=-1))
+        with pytest.raises(duckdb.ConstraintException):
+            merge(connection, (*row("b", "first")[:5], None, *row("b", "first")[6:]))
