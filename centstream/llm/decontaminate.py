@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from centstream.llm import words as W
+from centstream.llm.store import through
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -352,7 +353,7 @@ def digest(scanned: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents, all their columns, without those that hold a window."""
-    schema, column = docs.schema, docs.columns.index("text")
+    column = docs.columns.index("text")
     for shared in _passes(docs, benchmark, window, BLOCK_BYTES):
 
         def clean(batches, shared=shared):
@@ -365,5 +366,5 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
                         hit[shard.row_of(shard.occurrences(block)[1])] = True
                     yield part.filter(pa.array(~hit))
 
-        docs = docs.mapInArrow(clean, schema)
+        docs = through(docs, clean)
     return docs

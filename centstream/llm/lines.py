@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from centstream.llm import words as W
-from centstream.llm.store import stored
+from centstream.llm.store import packed, stored
 
 SHINGLE = 5
 SIMILARITY = (4, 5)
@@ -263,13 +263,11 @@ def cleaned(docs: DataFrame) -> DataFrame:
     gone = gone.filter(F.size("_gone") > 0).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_gone"
     )
-    same = docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (
-        F.xxhash64(docs["text"]) == gone["_hash"]
-    )
-    kept = F.filter(
-        F.split("text", "\n"), lambda _, i: ~F.array_contains("_gone", i.cast("long"))
-    )
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return docs.join(gone, same, "left").select(
-        *(text.alias(c) if c == "text" else docs[c] for c in docs.columns)
+    rows = docs.select(packed(docs.columns))
+    old = F.col("kept.text")
+    same = F.col("kept.doc_id").cast("long").eqNullSafe(F.col("_id")) & (
+        F.xxhash64(old) == F.col("_hash")
     )
+    left = F.filter(F.split(old, "\n"), lambda _, i: ~F.array_contains("_gone", i.cast("long")))
+    text = F.when(F.col("_gone").isNull(), old).otherwise(F.array_join(left, "\n"))
+    return rows.join(gone, same, "left").select(F.col("kept").withField("text", text).alias("kept")).select("kept.*")

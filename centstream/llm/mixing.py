@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from centstream.llm import words as W
-from centstream.llm.store import stored
+from centstream.llm.store import packed, stored
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -333,9 +333,8 @@ def mixed(
     """The documents of the mix, all their columns, one row for each copy."""
     slim = stored(_slim(docs, sources, seed), "mix")
     plan = Plan(slim, weights, share, repeats)
-    kept = F.struct(*(docs[c] for c in docs.columns)).alias("kept")
     rows = docs.select(
-        kept, _pattern(sources).alias("pattern"), _hash(docs["doc_id"], docs["text"], seed).alias("h")
+        packed(docs.columns), _pattern(sources).alias("pattern"), _hash(docs["doc_id"], docs["text"], seed).alias("h")
     )
     chosen = plan.joined(rows).filter("copies > 0")
     repeated = chosen.select("kept", F.explode(F.sequence(F.lit(1), "copies")).alias("_copy"))

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from centstream.llm import boosting
 from centstream.llm import words as W
+from centstream.llm.store import through
 
 SAMPLE_DOCS = 5000
 #: Proposals of the sample that train the trees.
@@ -301,4 +302,4 @@ def redacted(docs: DataFrame, model: Model) -> DataFrame:
                 arrays[column] = pa.array(texts, part.schema.field(column).type)
                 yield pa.RecordBatch.from_arrays(arrays, part.schema.names)
 
-    return docs.mapInArrow(change, docs.schema)
+    return through(docs, change)

@@ -18,7 +18,7 @@ result.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from centstream.llm.store import stored
+from centstream.llm.store import packed, stored
 
 SLOTS = 4096
 SHARDS = 24
@@ -133,14 +133,14 @@ def _numbered(docs: DataFrame, columns: list[str], shards: int) -> DataFrame:
     places = slot_map.join(F.broadcast(sums), "_vslot").select(
         F.col("_vslot"), "shard", F.coalesce(before, F.lit(0)).alias("_before")
     )
-    hashed = F.xxhash64(F.col("doc_id").cast("long"), "text_crc32", "size")
-    within = F.row_number().over(Window.partitionBy("_vslot").orderBy(hashed, "doc_id"))
+    hashed = F.xxhash64(F.col("_doc").cast("long"), "text_crc32", "size")
+    within = F.row_number().over(Window.partitionBy("_vslot").orderBy(hashed, "_doc"))
     return (
-        docs.select(*columns, *_record(docs))
+        docs.select(packed(columns), F.col("doc_id").alias("_doc"), *_record(docs))
         .withColumn("_within", within)
         .join(F.broadcast(places), "_vslot")
         .select(
-            *columns,
+            "kept.*",
             "size",
             "text_crc32",
             F.lit("bytes").alias("law"),
@@ -159,4 +159,4 @@ def assignment(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 def assigned(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """The documents with their shard and place."""
     kept = [c for c in docs.columns if c.lower() not in RESULTS]
-    return _numbered(docs.select(*kept), kept, shards)
+    return _numbered(docs, kept, shards)

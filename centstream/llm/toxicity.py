@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from centstream.llm import boosting
 from centstream.llm import words as W
+from centstream.llm.store import through
 
 THRESHOLD = 0.3
 #: Labelled rows that train the trees.
@@ -336,4 +337,4 @@ def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
             for part in W.pieces(batch, column):
                 yield part.filter(pa.array(shared.value.score(part.column(column)) < threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return through(docs, keep)
