@@ -74,8 +74,7 @@ class Lines:
         """
         low = np.uint64((1 << 48) - 1)
         ranked = ranks[range_of(self.token)] << np.uint64(48) | (self.token & low)
-        order = np.lexsort((ranked, self.of))
-        of, token = self.of[order], ranked[order]
+        of, token = by_line(self.of, ranked, len(self.begins))
         new = np.ones(len(of), bool)
         new[1:] = (of[1:] != of[:-1]) | (token[1:] != token[:-1])
         self.of, self.token = of[new], token[new]
@@ -87,6 +86,22 @@ class Lines:
         self.cls = ((sums ^ (sums >> np.uint64(32))) * W.INVERSE).view(np.int64)
 
 
+def by_line(of: np.ndarray, token: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both, in the order of line and then token.
+
+    One sort of keys made of the line and the token's upper bits is several times as
+    fast as a sort by two columns, which only follows where those bits leave ties.
+    """
+    bits = np.uint64(max(lines - 1, 1).bit_length())
+    key = of.astype(np.uint64) << (np.uint64(64) - bits) | token >> bits
+    order = np.argsort(key)
+    of, token = of[order], token[order]
+    if ((of[1:] == of[:-1]) & (token[1:] < token[:-1])).any():
+        order = np.lexsort((token, of))
+        of, token = of[order], token[order]
+    return of, token
+
+
 def range_of(token: np.ndarray) -> np.ndarray:
     return (token >> np.uint64(48)).astype(np.int64)
 

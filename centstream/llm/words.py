@@ -85,10 +85,21 @@ INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 _BYTE = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
+#: Powers are kept for runs of texts of up to this many bytes, twice 40 MB in all.
+_KEPT = PIECE_BYTES + (1 << 20)
+_kept: dict[int, np.ndarray] = {}
+
+
 def _powers(of: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, of, dtype=np.uint64)
+    """The first ``n`` powers; longer texts compute their own."""
+    if n <= _KEPT and int(of) in _kept:
+        return _kept[int(of)][:n]
+    out = np.full(max(n, _KEPT), of, dtype=np.uint64)
     out[:1] = 1
-    return np.multiply.accumulate(out)
+    np.multiply.accumulate(out, out=out)
+    if n <= _KEPT:
+        _kept[int(of)] = out
+    return out[:n]
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
