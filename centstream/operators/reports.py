@@ -1,7 +1,8 @@
 """Report queries over the payments table.
 
-Each takes the payments DataFrame and returns one. Amounts of different
-currencies are never added up.
+Each takes the payments DataFrame and returns one. Those that only count and add up take
+its day totals as well (``day_totals``), of which there is one row per day, currency and
+status instead of one per payment. Amounts of different currencies are never added up.
 """
 
 from datetime import datetime
@@ -34,9 +35,24 @@ def of_currency(payments: DataFrame, currency: str) -> DataFrame:
     return payments.where(F.col("currency") == currency)
 
 
-def _successful_amount() -> Column:
-    total = F.sum(F.when(F.col("is_successful"), F.col("amount_major")))
-    return F.coalesce(total, F.lit(0)).cast("decimal(38,3)")
+def _figures(rows: DataFrame) -> tuple[Column, Column, Column]:
+    """Events, successes and successful amount of payments or of their totals."""
+    if "event_count" in rows.columns:
+        sums = (F.sum(name) for name in ("event_count", "successful_count", "successful_amount"))
+    else:
+        amount = F.when(F.col("is_successful"), F.col("amount_major"))
+        sums = (F.count("*"), F.count_if("is_successful"), F.sum(amount))
+    events, successes, total = (F.coalesce(each, F.lit(0)) for each in sums)
+    return events, successes, total.cast("decimal(38,3)")
+
+
+def _totals(rows: DataFrame) -> list[Column]:
+    events, successes, amount = _figures(rows)
+    return [
+        events.alias("event_count"),
+        successes.alias("successful_count"),
+        amount.alias("successful_amount"),
+    ]
 
 
 def _mean(total: Column, count: Column) -> Column:
@@ -45,17 +61,24 @@ def _mean(total: Column, count: Column) -> Column:
     return F.coalesce(mean, F.lit(0)).cast("decimal(38,6)")
 
 
-def _headline() -> list[Column]:
-    successes = F.count_if("is_successful")
+def _headline(rows: DataFrame) -> list[Column]:
+    events, successes, amount = _figures(rows)
     return [
-        F.count("*").alias("total_events"),
+        events.alias("total_events"),
         successes.alias("successful_events"),
-        F.count_if(~F.col("is_successful")).alias("unsuccessful_events"),
-        _successful_amount().alias("successful_amount"),
-        _mean(_successful_amount(), successes).alias("average_successful_amount"),
+        (events - successes).alias("unsuccessful_events"),
+        amount.alias("successful_amount"),
+        _mean(amount, successes).alias("average_successful_amount"),
     ]
 
 
+def day_totals(payments: DataFrame, *more: str) -> DataFrame:
+    """Counts and successful amount per UTC day, currency and status, and per ``more`` columns."""
+    known = "event_day" in payments.columns
+    day = F.col("event_day") if known else F.to_date("event_time").alias("event_day")
+    return payments.groupBy(*more, day, "currency", "payment_status").agg(*_totals(payments))
+
+
 def currencies(payments: DataFrame) -> DataFrame:
     """Currencies present, in order."""
     return payments.select("currency").distinct().orderBy("currency")
@@ -70,12 +93,12 @@ def default_currency(payments: DataFrame, preferred: str) -> DataFrame:
 
 def summary(payments: DataFrame, currency: str) -> DataFrame:
     """Headline totals of one currency: one row, also when it has no payments."""
-    return of_currency(payments, currency).agg(*_headline())
+    return of_currency(payments, currency).agg(*_headline(payments))
 
 
 def summary_by_currency(payments: DataFrame) -> DataFrame:
     """Headline totals of every currency in one pass."""
-    return payments.groupBy("currency").agg(*_headline())
+    return payments.groupBy("currency").agg(*_headline(payments))
 
 
 def with_success_rate(totals: DataFrame) -> DataFrame:
@@ -102,32 +125,19 @@ def status_breakdown(payments: DataFrame, currency: str) -> DataFrame:
     counts = (
         of_currency(payments, currency)
         .groupBy("payment_status")
-        .agg(F.count("*").alias("event_count"))
+        .agg(_figures(payments)[0].alias("event_count"))
     )
     return counts.orderBy(F.desc("event_count"), "payment_status")
 
 
 def status_totals(payments: DataFrame) -> DataFrame:
     """Counts and successful amount per status, from which a headline can be added up."""
-    return payments.groupBy("payment_status").agg(
-        F.count("*").alias("event_count"),
-        F.count_if("is_successful").alias("successful_count"),
-        _successful_amount().alias("successful_amount"),
-    )
+    return payments.groupBy("payment_status").agg(*_totals(payments))
 
 
 def summary_of_totals(totals: DataFrame) -> DataFrame:
     """The headline of one currency from its status totals."""
-    count = F.coalesce(F.sum("event_count"), F.lit(0))
-    good = F.coalesce(F.sum("successful_count"), F.lit(0))
-    amount = F.coalesce(F.sum("successful_amount"), F.lit(0)).cast("decimal(38,3)")
-    return totals.agg(
-        count.alias("total_events"),
-        good.alias("successful_events"),
-        (count - good).alias("unsuccessful_events"),
-        amount.alias("successful_amount"),
-        _mean(amount, good).alias("average_successful_amount"),
-    )
+    return totals.agg(*_headline(totals))
 
 
 def hourly_activity(payments: DataFrame, currency: str, as_of: datetime | None = None) -> DataFrame:
@@ -142,21 +152,15 @@ def hourly_activity(payments: DataFrame, currency: str, as_of: datetime | None =
     if "event_day" in payments.columns:
         recent = recent.where(F.col("event_day") >= F.to_date(start))
     hour = F.date_trunc("hour", "event_time").alias("hour")
-    return (
-        recent.groupBy(hour)
-        .agg(F.count("*").alias("event_count"), _successful_amount().alias("successful_amount"))
-        .orderBy("hour")
-    )
+    events, _, amount = _totals(recent)
+    return recent.groupBy(hour).agg(events, amount).orderBy("hour")
 
 
 def daily_summary(payments: DataFrame) -> DataFrame:
     """Events, successes and successful amount per UTC day and currency."""
-    day = F.date_trunc("day", "event_time").alias("payment_day")
-    return payments.groupBy(day, "currency").agg(
-        F.count("*").alias("event_count"),
-        F.count_if("is_successful").alias("successful_count"),
-        _successful_amount().alias("successful_amount"),
-    )
+    summed = "event_time" not in payments.columns
+    day = F.col("event_day").cast("timestamp") if summed else F.date_trunc("day", "event_time")
+    return payments.groupBy(day.alias("payment_day"), "currency").agg(*_totals(payments))
 
 
 def register_daily_summary(payments: DataFrame, name: str = "payment_daily_summary") -> None:

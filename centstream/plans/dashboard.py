@@ -14,6 +14,7 @@ from centstream.operators.reports import (
     summary_of_totals,
     with_success_rate,
 )
+from centstream.sources.jdbc import JdbcPayments
 from centstream.sources.payments import PaymentsTable
 
 
@@ -30,25 +31,25 @@ class Dashboard(NamedTuple):
 
 
 def dashboard(
-    table: PaymentsTable,
+    table: PaymentsTable | JdbcPayments,
     currency: str,
     as_of: datetime | None = None,
     limit: int = DEFAULT_RECENT,
 ) -> Dashboard:
     """The four reports, agreeing with each other because they read one version.
 
-    The headline is added up from the status totals, of which there is one row
-    per status, so one pass over four columns serves both; the other two reports
-    read recent days only.
+    The headline and the status counts are added up from the table's day totals;
+    the other two reports read recent days only. A database table has no versions,
+    so there each report sees the moment it is read.
     """
-    version = table.state().version
-    payments = table.read(version)
-    totals = status_totals(of_currency(payments, currency)).persist()
+    table = table.pinned()
+    payments = table.read()
+    totals = status_totals(of_currency(table.totals(), currency)).persist()
     status = totals.select("payment_status", "event_count")
     return Dashboard(
         summary=with_success_rate(summary_of_totals(totals)),
         status=status.orderBy(F.desc("event_count"), "payment_status"),
         hourly=hourly_activity(payments, currency, as_of),
-        recent=table.recent(currency, limit, version),
+        recent=table.recent(currency, limit),
         totals=totals,
     )

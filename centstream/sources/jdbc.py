@@ -4,10 +4,13 @@ Executors load a staging table in parallel; one statement then moves it into the
 payments table, so a batch appears whole or not at all.
 """
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 
 from centstream.contract import TABLE_COLUMNS
 from centstream.operators.quality import NOT_NEGATIVE, NOT_NULL
+from centstream.operators.reports import DEFAULT_RECENT, MAX_RECENT, day_totals, recent_payments
 from centstream.operators.upsert import one_row_per_key, with_raw_event
 
 JSON_COLUMN = "raw_event"
@@ -71,8 +74,20 @@ def merge_statement(
     )
 
 
+def bounds_statement(table: str) -> str:
+    return f"SELECT min(event_time) AS first_at, max(event_time) AS last_at FROM {table}"
+
+
+def range_options(first: datetime | None, last: datetime | None, tasks: int) -> dict[str, str]:
+    """Read options that deal the rows to tasks by ranges of event time; none for no rows."""
+    if first is None or last is None:
+        return {}
+    bounds = {"lowerBound": str(first), "upperBound": str(last), "numPartitions": str(tasks)}
+    return {"partitionColumn": "event_time", **bounds}
+
+
 class JdbcPayments:
-    """Takes upserts like the file table, so either can be the sink of the stream."""
+    """Takes upserts and gives reports like the file table, so either can serve the job."""
 
     def __init__(
         self,
@@ -95,12 +110,30 @@ class JdbcPayments:
     def read(self, **options: str) -> DataFrame:
         """The table; filters and column choice are pushed to the database.
 
-        Pass ``partitionColumn``, ``lowerBound``, ``upperBound`` and
-        ``numPartitions`` to read it with more than one task.
+        It is read over ``connections`` connections by ranges of event time, whose
+        first and last come from the index. ``partitionColumn`` and its like replace that.
         """
+        if "partitionColumn" not in options:
+            ends = self.spark.read.format("jdbc").options(**self._login)
+            first, last = ends.option("query", bounds_statement(self.table)).load().first()
+            options = range_options(first, last, self.connections) | options
         reader = self.spark.read.format("jdbc").options(**self._login, dbtable=self.table)
         return reader.options(**options).load()
 
+    def pinned(self) -> "JdbcPayments":
+        """The table itself; it has no versions."""
+        return self
+
+    def totals(self) -> DataFrame:
+        """Day totals, added up from the payments."""
+        return day_totals(self.read())
+
+    def recent(
+        self, currency: str, limit: int = DEFAULT_RECENT, ceiling: int = MAX_RECENT
+    ) -> DataFrame:
+        """Latest payments of a currency."""
+        return recent_payments(self.read(), currency, limit, ceiling)
+
     def create(self) -> None:
         """Make the payments table and its indexes where they are missing."""
         self._execute(*table_statements(self.table))

@@ -9,6 +9,10 @@ the files holding it written again without it and marked as replaced, so the usu
 batch of new keys costs no rewrite. ``compact`` joins the small parts of a day, ``vacuum`` removes
 the files that no kept version needs. One writer at a time; a second one that
 commits the same version fails.
+
+Before a commit, the counts and amounts of each new file are added up per day, currency
+and status into ``totals/part=<id>/``. Reports that only add up read these rows, those of
+the files that a version holds, and no payment.
 """
 
 import json
@@ -26,6 +30,7 @@ from centstream.operators.quality import observed
 from centstream.operators.reports import (
     DEFAULT_RECENT,
     MAX_RECENT,
+    day_totals,
     of_currency,
     recent_limit,
     recent_payments,
@@ -37,6 +42,10 @@ from centstream.sources.files import Folder
 LOGGER = logging.getLogger(__name__)
 
 STORED_DDL = TABLE_DDL + ", part STRING, event_day DATE"
+TOTALS_DDL = (
+    "file STRING, event_day DATE, currency STRING, payment_status STRING, event_count BIGINT, "
+    "successful_count BIGINT, successful_amount DECIMAL(38,3), part STRING"
+)
 MET_DDL = "event_id STRING, part STRING, event_day DATE, file STRING, copy BOOLEAN"
 
 # Where an upsert looks for an already stored copy of a key.
@@ -104,9 +113,12 @@ class TableState:
 
 
 class PaymentsTable:
-    def __init__(self, spark: SparkSession, root: str):
+    """The table at ``root``; with ``version``, as it was then, to be read only."""
+
+    def __init__(self, spark: SparkSession, root: str, version: int | None = None):
         require_utc(spark)
         self.spark = spark
+        self.version = version
         self.root = root.rstrip("/")
         self._data = f"{self.root}/data"
         self._files = Folder(spark, self.root)
@@ -114,7 +126,9 @@ class PaymentsTable:
     # Reading
 
     def state(self, version: int | None = None) -> TableState:
-        """The given version, or the latest."""
+        """The given version, or that of this object, or the latest."""
+        if version is None:
+            version = self.version
         if version is None:
             version = max(self._version_ages(), default=0)
         if version == 0:
@@ -130,6 +144,31 @@ class PaymentsTable:
         """
         return self._scan(self.state(version).pieces(days)).drop("part")
 
+    def pinned(self) -> "PaymentsTable":
+        """The latest version, for reports that shall agree."""
+        return PaymentsTable(self.spark, self.root, self.state().version)
+
+    def totals(self, version: int | None = None) -> DataFrame:
+        """Day totals of one version, for the reports that take them. Reads no payment.
+
+        A day, currency and status may have several rows, one per file, to be added up.
+        """
+        pieces = self.state(version).pieces()
+        names = TOTALS_DDL.replace("file STRING, ", "").replace(", part STRING", "")
+        if not pieces:
+            return self.spark.createDataFrame([], names)
+        parts = sorted({piece.part for piece in pieces})
+        reader = self.spark.read.schema(TOTALS_DDL).option("basePath", f"{self.root}/totals")
+        rows = reader.parquet(*(f"{self.root}/totals/part={part}" for part in parts))
+        # The state file lists the same; ``compact`` bounds the pieces of a day.
+        live = self.spark.createDataFrame(
+            [(piece.part, piece.day, list(piece.replaced)) for piece in pieces],
+            "part STRING, event_day STRING, replaced ARRAY<STRING>",
+        ).withColumn("event_day", F.col("event_day").cast("date"))
+        held = rows.join(F.broadcast(live), ["part", "event_day"])
+        held = held.where(~F.array_contains("replaced", F.col("file")))
+        return held.select(*(name.split()[0] for name in names.split(", ")))
+
     def recent(
         self,
         currency: str,
@@ -139,19 +178,20 @@ class PaymentsTable:
     ) -> DataFrame:
         """Latest payments of a currency, reading only as many days as needed.
 
-        The newest day is tried first, then ever longer spans until one holds
-        enough payments. Every day left out is older than all that were read.
+        The day totals say which: those with payments of the currency, the newest
+        first, until they hold enough. No payment is read before the result is.
         """
         state = self.state(version)
-        newest_first = sorted(state.days, reverse=True)
-        span, wanted = 1, recent_limit(limit, ceiling)
-        while span < len(newest_first):
-            tail = self._scan(state.pieces(newest_first[:span]))
-            if of_currency(tail, currency).limit(wanted).count() >= wanted:
+        wanted = recent_limit(limit, ceiling)
+        counts = of_currency(self.totals(state.version), currency).groupBy("event_day")
+        newest = counts.agg(F.sum("event_count")).orderBy(F.desc("event_day")).limit(wanted)
+        days, held = [], 0
+        for day, events in newest.collect():  # ``wanted`` rows at most
+            if held >= wanted:
                 break
-            span *= 4
-        found = self._scan(state.pieces(newest_first[:span]))
-        return recent_payments(found, currency, limit, ceiling)
+            days.append(day.isoformat())
+            held += events
+        return recent_payments(self._scan(state.pieces(days)), currency, limit, ceiling)
 
     # Writing
 
@@ -209,6 +249,7 @@ class PaymentsTable:
                 after = self._without_empty(before.changed(added, replaced=stale), stale)
         if batch_id is not None:
             after.streams[stream] = batch_id
+        self._add_up(after, before)
         self._commit(after)
         LOGGER.info("stream=%s batch_id=%s rows=%s", stream, batch_id, seen["rows"])
         return after
@@ -232,6 +273,7 @@ class PaymentsTable:
             return before
         joined = self._write_part(self._scan(scattered), kind=JOINED)
         after = before.changed(joined, dropped=scattered)
+        self._add_up(after, before)
         self._commit(after)
         return after
 
@@ -259,6 +301,7 @@ class PaymentsTable:
             self._files.delete(self._state_name(version))
         for part in stale:
             self._files.delete(f"data/part={part}")
+            self._files.delete(f"totals/part={part}")
         return len(stale)
 
     # Files
@@ -366,6 +409,15 @@ class PaymentsTable:
         days = self._files.children(f"data/part={part}", "event_day=")
         return [Piece(part, name) for name in days]
 
+    def _add_up(self, state: TableState, before: TableState) -> None:
+        """Write the totals of the new parts, per file, as files are what gets replaced."""
+        known = {piece.part for piece in before.pieces()}
+        new = [piece for piece in state.pieces() if piece.part not in known]
+        if new:
+            named = self._scan(new).withColumn("file", F.col("_metadata.file_name"))
+            totals = day_totals(named, "part", "file")
+            totals.write.mode("append").partitionBy("part").parquet(f"{self.root}/totals")
+
     def _commit(self, state: TableState) -> None:
         body = {"version": state.version, "days": state.days, "streams": state.streams}
         if not self._files.write_new(self._state_name(state.version), json.dumps(body)):

@@ -210,6 +210,10 @@ def _report(make: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, s
     return lambda spark, sf_dir: make(payments(spark, sf_dir))
 
 
+def _from_totals(make: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: make(stored(spark, sf_dir).totals())
+
+
 def success_rate(rows: DataFrame) -> DataFrame:
     rated = reports.with_success_rate(reports.summary_by_currency(rows))
     return rated.select("currency", "success_rate")
@@ -477,17 +481,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "webhook_outcomes": webhook_outcomes,
     "webhook_publish": webhook_publish,
     "contract_check": contract_check,
-    "currencies": _report(reports.currencies),
-    "default_currency": _report(lambda rows: reports.default_currency(rows, "GBP")),
-    "summary": _report(lambda rows: reports.summary(rows, "gbp")),
-    "summary_by_currency": _report(reports.summary_by_currency),
-    "success_rate": _report(success_rate),
-    "summary_display": _report(
+    "currencies": _from_totals(reports.currencies),
+    "default_currency": _from_totals(lambda rows: reports.default_currency(rows, "GBP")),
+    "summary": _from_totals(lambda rows: reports.summary(rows, "gbp")),
+    "summary_by_currency": _from_totals(reports.summary_by_currency),
+    "success_rate": _from_totals(success_rate),
+    "summary_display": _from_totals(
         lambda rows: reports.summary_display(reports.summary_by_currency(rows))
     ),
-    "status_breakdown": _report(lambda rows: reports.status_breakdown(rows, "gbp")),
+    "status_breakdown": _from_totals(lambda rows: reports.status_breakdown(rows, "gbp")),
     "hourly_activity": _report(lambda rows: reports.hourly_activity(rows, "gbp", AS_OF)),
-    "daily_summary": _report(reports.daily_summary),
+    "daily_summary": _from_totals(reports.daily_summary),
     "recent_payments": recent_payments,
     "recent_display": recent_display,
     "format_money": _report(format_money),

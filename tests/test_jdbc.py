@@ -6,7 +6,13 @@ import duckdb
 import pytest
 
 from centstream.contract import TABLE_COLUMNS
-from centstream.sources.jdbc import merge_statement, table_statements
+from centstream.sources.jdbc import (
+    JdbcPayments,
+    bounds_statement,
+    merge_statement,
+    range_options,
+    table_statements,
+)
 
 DDL = (
     "event_id TEXT {key}, payment_id TEXT, event_type TEXT, amount_minor BIGINT, "
@@ -71,3 +77,34 @@ def test_table_has_the_key_that_merging_needs_and_its_checks():
             merge(connection, row("b", "first", minor=-1))
         with pytest.raises(duckdb.ConstraintException):
             merge(connection, (*row("b", "first")[:5], None, *row("b", "first")[6:]))
+
+
+def test_reading_is_dealt_by_ranges_of_event_time(db):
+    merge(db, row("a", "first"), row("b", "first", 30))
+    first, last = db.execute(bounds_statement("payments")).fetchone()
+    assert range_options(first, last, 16) == {
+        "partitionColumn": "event_time",
+        "lowerBound": "2024-01-01 00:00:00",
+        "upperBound": "2024-01-02 06:00:00",
+        "numPartitions": "16",
+    }
+    assert range_options(None, None, 16) == {}
+
+
+def test_dashboard_over_a_database_table(spark, monkeypatch):
+    from centstream.contract import TABLE_DDL
+    from centstream.plans.dashboard import dashboard
+
+    # Instants are taken as UTC, whatever the zone of the machine.
+    rows = spark.createDataFrame([], TABLE_DDL)
+    one = spark.range(1).selectExpr(
+        "'a' AS event_id", "'gbp' AS currency", "'s' AS payment_status", "true AS is_successful",
+        "CAST(1.5 AS DECIMAL(18,3)) AS amount_major", "TIMESTAMP '2024-01-01 10:00:00' AS event_time",
+    )
+    stored = rows.unionByName(one, allowMissingColumns=True)
+    monkeypatch.setattr(JdbcPayments, "read", lambda self: stored)
+    shown = dashboard(JdbcPayments(spark, "jdbc:none", "user", "word"), "gbp", NOW.replace(hour=11))
+    assert shown.summary.first().total_events == 1
+    assert [tuple(r) for r in shown.status.collect()] == [("s", 1)]
+    assert (shown.hourly.count(), shown.recent.count()) == (1, 1)
+    shown.release()

@@ -128,3 +128,31 @@ def test_rejected_files_prune_by_date(spark):
     ).write.partitionBy("rejection_date").json(folder)
     plan = plan_of(read_rejected(spark, folder).where("rejection_date = DATE '2024-02-01'"))
     assert re.search(r"PartitionFilters: \[.*rejection_date", plan)
+
+
+def test_reports_that_add_up_read_no_payment(table):
+    totals = table.totals()
+    for report in (
+        reports.currencies(totals),
+        reports.summary(totals, "gbp"),
+        reports.summary_by_currency(totals),
+        reports.status_breakdown(totals, "gbp"),
+        reports.daily_summary(totals),
+    ):
+        assert report.inputFiles() and all("/totals/" in path for path in report.inputFiles())
+
+
+def test_reports_of_totals_are_those_of_payments(table):
+    rows, totals = table.read(), table.totals()
+    for make in (
+        reports.currencies,
+        lambda df: reports.default_currency(df, "GBP"),
+        lambda df: reports.summary(df, "gbp"),
+        lambda df: reports.summary(df, "none"),
+        reports.summary_by_currency,
+        lambda df: reports.status_breakdown(df, "gbp"),
+        reports.daily_summary,
+    ):
+        want, got = make(rows), make(totals)
+        assert got.schema.simpleString() == want.schema.simpleString()
+        assert sorted(got.collect()) == sorted(want.collect())

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from centstream.contract import TABLE_COLUMNS, VALID_DDL
 from centstream.operators import quality
+from centstream.operators.reports import day_totals
 from centstream.operators.upsert import merge_upsert, one_row_per_key, with_raw_event
 from centstream.session import new_folder
 from centstream.sources import payments as tables
@@ -311,3 +312,47 @@ def test_contract_report(spark):
         "amount_major >= 0": 1,
         "payment_id NOT NULL": 1,
     }
+
+
+def _added_up(totals):
+    keys = ["event_day", "currency", "payment_status"]
+    sums = [F.sum(c).alias(c) for c in ("event_count", "successful_count", "successful_amount")]
+    return sorted(tuple(r) for r in totals.groupBy(*keys).agg(*sums).collect())
+
+
+def test_totals_follow_every_version(spark, table):
+    """Inserts, overwrites, moves to another day, emptied days, compaction, old versions."""
+    assert table.totals().count() == 0
+    steps = [
+        [row("a"), row("b", currency="eur"), row("c", day=11)],
+        [row("a", amount="2.500"), row("d", day=12)],
+        [row("c", day=13, amount="7.000"), row("e", day=11, currency="eur")],
+        [row("e", day=14, currency="eur")],
+    ]
+    for rows in steps:
+        table.upsert(batch(spark, *rows))
+        assert _added_up(table.totals()) == _added_up(day_totals(table.read()))
+    table.compact(max_loose=0)
+    assert _added_up(table.totals()) == _added_up(day_totals(table.read()))
+    for version in range(1, 6):
+        want = _added_up(day_totals(table.read(version)))
+        assert _added_up(table.totals(version)) == want
+    table.vacuum(keep_versions=1, keep_hours=0)
+    assert _added_up(table.totals()) == _added_up(day_totals(table.read()))
+    kept = {path.split("/part=")[1].split("/")[0] for path in table.totals().inputFiles()}
+    assert kept == {piece.part for piece in table.state().pieces()}
+
+
+def test_totals_of_redelivered_streams(spark, table):
+    table.upsert(batch(spark, row("a"), row("b")), "s", 0, first_wins="1 day")
+    table.upsert(batch(spark, row("a", note="again"), row("c")), "s", 1, first_wins="1 day")
+    assert _added_up(table.totals()) == _added_up(day_totals(table.read()))
+    assert sum(r.event_count for r in table.totals().collect()) == 3
+
+
+def test_pinned_table_stays_as_it_was(spark, table):
+    table.upsert(batch(spark, row("a")))
+    then = table.pinned()
+    table.upsert(batch(spark, row("b")))
+    assert (then.read().count(), then.totals().count(), then.recent("gbp").count()) == (1, 1, 1)
+    assert table.read().count() == 2
