@@ -94,6 +94,9 @@ def main() -> None:
     def report(make) -> object:
         return lambda: consume(make(table.read()))
 
+    def added_up(make) -> object:
+        return lambda: consume(make(table.totals()))
+
     timed = {
         "webhook_publish": lambda: consume(published()),
         "valid_records": lambda: consume(route.valid_records(checked())),
@@ -102,14 +105,14 @@ def main() -> None:
         "quality_metrics": lambda: consume(quality.quality_metrics(checked())),
         "table_load": load,
         "table_overwrite": overwrite,
-        "currencies": report(reports.currencies),
-        "summary": report(lambda rows: reports.summary(rows, "gbp")),
-        "summary_by_currency": report(reports.summary_by_currency),
-        "status_breakdown": report(lambda rows: reports.status_breakdown(rows, "gbp")),
+        "currencies": added_up(reports.currencies),
+        "summary": added_up(lambda rows: reports.summary(rows, "gbp")),
+        "summary_by_currency": added_up(reports.summary_by_currency),
+        "status_breakdown": added_up(lambda rows: reports.status_breakdown(rows, "gbp")),
         "hourly_activity": report(
             lambda rows: reports.hourly_activity(rows, "gbp", registered.AS_OF)
         ),
-        "daily_summary": report(reports.daily_summary),
+        "daily_summary": added_up(reports.daily_summary),
         "recent_payments": lambda: consume(table.recent("gbp")),
         "dashboard": all_reports,
         "stream_valid": stream_valid,
