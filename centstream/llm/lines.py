@@ -55,9 +55,12 @@ class Lines:
         line = np.searchsorted(begins, found.starts, "right") - 1
         hashed = W.hashes(found.data, found.starts, found.ends)
         counts = np.bincount(line, minlength=len(begins))
-        first = np.cumsum(counts) - counts
+        self._shingle(counts, np.cumsum(counts) - counts, hashed)
+
+    def _shingle(self, counts: np.ndarray, first: np.ndarray, hashed: np.ndarray) -> None:
+        """Tokens from the words' hashes, and the number and first of each line's words."""
         shingles = np.where(counts == 0, 0, np.maximum(counts - SHINGLE + 1, 1))
-        of = np.repeat(np.arange(len(begins)), shingles)
+        of = np.repeat(np.arange(len(counts)), shingles)
         word = np.arange(len(of)) - (np.cumsum(shingles) - shingles)[of] + first[of]
         token = np.zeros(len(of), np.uint64)
         padded = np.append(hashed, np.zeros(SHINGLE, np.uint64))
@@ -85,6 +88,13 @@ class Lines:
         sums = total[self.first + self.sizes] - total[self.first]
         self.cls = ((sums ^ (sums >> np.uint64(32))) * W.INVERSE).view(np.int64)
 
+    def prefixes(self) -> pa.Array:
+        """The first tokens of each line; of two similar lines these share one."""
+        size = self.sizes
+        p = np.where(size > 0, size - (4 * size + 4) // 5 + 1, 0)
+        take = np.repeat(self.first, p) + np.arange(p.sum()) - np.repeat(np.cumsum(p) - p, p)
+        return _list(self.token[take], p)
+
 
 def by_line(of: np.ndarray, token: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray]:
     """Both, in the order of line and then token.
@@ -112,14 +122,14 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def range_ranks(docs: DataFrame) -> np.ndarray:
+def range_ranks(docs: DataFrame, kind: type = Lines) -> np.ndarray:
     """Rank of each hash range by the tokens of the corpus that fall in it."""
 
     def count(batches):
         total = np.zeros(RANGES, np.int64)
         for batch in batches:
             for part in W.pieces(batch, 0):
-                total += np.bincount(range_of(Lines(part.column(0)).token), minlength=RANGES)
+                total += np.bincount(range_of(kind(part.column(0)).token), minlength=RANGES)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["at", "n"])
 
@@ -146,8 +156,6 @@ def _lines(docs: DataFrame, ranks) -> DataFrame:
                 found = Lines(part.column(2))
                 found.ordered(ranks.value)
                 size = found.sizes
-                p = np.where(size > 0, size - (4 * size + 4) // 5 + 1, 0)
-                take = np.repeat(found.first, p) + np.arange(p.sum()) - np.repeat(np.cumsum(p) - p, p)
                 none = part.column(2).is_null().to_numpy(zero_copy_only=False)[found.text]
                 text = pa.array(found.text)
                 total = np.where(none, 0, np.bincount(found.text, minlength=part.num_rows)[found.text])
@@ -155,7 +163,7 @@ def _lines(docs: DataFrame, ranks) -> DataFrame:
                     [
                         part.column(0).take(text), part.column(1).take(text), pa.array(total),
                         pa.array(found.number), pa.array(found.cls, mask=size == 0),
-                        pa.array(size.astype(np.int32)), _list(found.token[take], p),
+                        pa.array(size.astype(np.int32)), found.prefixes(),
                     ],
                     [c.split()[0] for c in LINE.split(", ")],
                 )
@@ -163,7 +171,7 @@ def _lines(docs: DataFrame, ranks) -> DataFrame:
     return _texts(docs).mapInArrow(cut, LINE)
 
 
-def _tokens_of(docs: DataFrame, classes: DataFrame, ranks) -> DataFrame:
+def _tokens_of(docs: DataFrame, classes: DataFrame, ranks, kind: type = Lines) -> DataFrame:
     """(cls, tokens) of the wanted classes; a bitmap keeps most other lines back."""
     bit = F.pmod("cls", F.lit(BITMAP))
     pieces = (
@@ -181,7 +189,7 @@ def _tokens_of(docs: DataFrame, classes: DataFrame, ranks) -> DataFrame:
     def pick(batches):
         for batch in batches:
             for part in W.pieces(batch, 0):
-                found = Lines(part.column(0))
+                found = kind(part.column(0))
                 found.ordered(ranks.value)
                 at = found.cls % BITMAP
                 there = (wanted.value[at // 8] >> (at % 8).astype(np.uint8)) & 1
@@ -202,15 +210,18 @@ def _least_overlap(a: Column, b: Column) -> Column:
     return ((4 * (a + b) + 8) / 9).cast("int")
 
 
-def _possible(a: str, b: str) -> Column:
-    """Earlier line first; length and positional filters."""
+def _fits(a: str, b: str) -> Column:
+    """Length and positional filters."""
     size, place = (lambda s: F.col(f"{s}.size")), (lambda s: F.col(f"{s}.place"))
     rest = F.least(size(a) - place(a), size(b) - place(b))
     return (
-        (F.col(f"{a}.born") < F.col(f"{b}.born"))
-        & (5 * F.least(size(a), size(b)) >= 4 * F.greatest(size(a), size(b)))
-        & (rest >= _least_overlap(size(a), size(b)))
-    )
+        5 * F.least(size(a), size(b)) >= 4 * F.greatest(size(a), size(b))
+    ) & (rest >= _least_overlap(size(a), size(b)))
+
+
+def _possible(a: str, b: str) -> Column:
+    """Earlier line first; length and positional filters."""
+    return (F.col(f"{a}.born") < F.col(f"{b}.born")) & _fits(a, b)
 
 
 def _similar(a: str, b: str) -> Column:

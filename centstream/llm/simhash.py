@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from centstream.llm import words as W
@@ -275,9 +275,18 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE) -> Data
     """One row of each component, all its columns: the least id, rows without id last."""
     prints = stored(fingerprints(docs, size), "prints")
     classes = stored(_classes(prints, radius), "classes")
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
-    first = prints.groupBy("fp").agg(F.min(order).alias("first"))
+    first = prints.groupBy("fp").agg(F.min(first_of()).alias("first"))
     kept = classes.join(first, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    return only(docs, prints, kept)
+
+
+def first_of() -> Column:
+    """Order of rows: by id, rows without one last, then by the text's hash."""
+    return F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+
+
+def only(docs: DataFrame, prints: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``kept.first`` names; ``prints`` has a row for each of ``docs``."""
     kept = stored(
         kept.select(
             F.col("first.doc_id").alias("_kept_id"), F.col("first.text_hash").alias("_kept_hash")
