@@ -4,13 +4,15 @@ Documents are added up by membership pattern (the set of sources that hold a tex
 Word capacity flows from patterns to source quotas; the k-th copy of a word costs
 k - 1, so nothing is repeated while fresh words can still be routed. The flow says how
 many words each pattern gives. Its documents are then taken in the order of a seeded
-hash: all of them once per whole copy, and for the rest those below a cut in hash
-order, followed by the next that still fit.
+hash: all of them once per whole copy, and for the rest each that still fits, until what
+is open is less than any document left.
 
-The cut is found by sums over 4,096 hash ranges and then inside one of them, so no
-pattern is ever sorted as a whole, and whether a document is taken depends on its own
-row and its pattern's cut alone: documents are not shuffled. Only one row per pattern
-comes to the driver; more than ``MOST_PATTERNS`` are refused.
+That is done in runs of hashes. The end of a run, the first document that does not fit,
+is found by sums over 4,096 hash ranges and then inside one of them, so no pattern is
+ever sorted as a whole, and whether a document is taken depends on its own row and its
+pattern's runs alone: documents are not shuffled. Behind a run the next few are taken one
+by one, then a new run begins with the sizes that still fit. A round brings one row per
+pattern and ``FILLERS`` documents to the driver; more than ``MOST_PATTERNS`` are refused.
 
 Size is the number of words; null and empty texts have size 0 and give no words. A null
 source is a source of its own, last in order; so is a missing list of sources. Rows
@@ -34,7 +36,7 @@ SEED = 20240501
 RANGES = 4096
 #: Distinct sets of sources; their sums are planned on the driver.
 MOST_PATTERNS = 100_000
-#: Documents behind a pattern's cut that may fill what the cut leaves open.
+#: Documents behind a run that are tried one by one before the next run.
 FILLERS = 256
 
 
@@ -203,107 +205,128 @@ class Plan:
         self._cut(slim)
 
     def _cut(self, slim: DataFrame) -> None:
-        """For each pattern, the greatest hash taken, and the hashes taken behind it."""
-        spark = slim.sparkSession
-        open_ = [(r[0], r[4]) for r in self.rows if r[4]]
-        self.cuts: dict[str, int] = {}
+        """For each pattern, the runs of hashes taken once more, and the hashes behind them.
+
+        Documents are taken in hash order wherever they still fit: a run up to the first
+        that does not, the next ones behind it one by one, and so on until none fits.
+        """
+        self.runs: dict[str, list[tuple[int, int, int, int]]] = {}
         self.fillers: list[tuple[str, int]] = []
-        if not open_:
-            return
-        rest = F.broadcast(spark.createDataFrame(open_, "pattern string, rest long"))
-        # Order of unsigned hashes: 4,096 ranges of equal width.
-        step = F.shiftrightunsigned("h", 52).alias("step")
-        hist = slim.join(rest, "pattern").groupBy("pattern", "rest", step).agg(
-            F.sum("size").alias("size")
+        open_ = [(r[0], r[4], _FIRST, 0) for r in self.rows if r[4]]
+        while open_:
+            open_ = self._fill(slim, self._run(slim, open_))
+
+    def _fitting(self, slim: DataFrame, open_: list[tuple[str, int, int, int]]) -> DataFrame:
+        """Documents from a pattern's place on that are no larger than what is open."""
+        spark = slim.sparkSession
+        rest = spark.createDataFrame(open_, "pattern string, rest long, place long, least long")
+        return (
+            slim.withColumn("rank", _order("h"))
+            .join(F.broadcast(rest), "pattern")
+            .filter("rank >= place AND size BETWEEN least AND rest")
         )
+
+    def _run(self, slim: DataFrame, open_: list) -> list[tuple[str, int, int, int]]:
+        """Adds each pattern's run; what it leaves open, and the place behind its end."""
+        spark, after = slim.sparkSession, {row[0]: row[1:] for row in open_}
+        fitting = self._fitting(slim, open_)
+        # Ranges of equal width, 4,096 over all hashes.
+        step = F.shiftright("rank", 52).alias("step")
+        hist = fitting.groupBy("pattern", "rest", step).agg(F.sum("size").alias("size"))
         hist.createOrReplaceTempView(view := "mix_ranges")
         reached = spark.sql(
-            f"""SELECT pattern, step, rest, upto - size AS before FROM (
-                  SELECT *, sum(size) OVER (PARTITION BY pattern ORDER BY step) AS upto FROM {view})
-                WHERE upto - size <= rest AND upto > rest"""
+            f"""SELECT pattern, min(CASE WHEN upto > rest THEN struct(step, upto - size AS before) END) AS at
+                FROM (SELECT *, sum(size) OVER (PARTITION BY pattern ORDER BY step) AS upto FROM {view})
+                GROUP BY pattern"""
         ).collect()  # a row per pattern at most
-        at = spark.createDataFrame(
-            [tuple(r) for r in reached], "pattern string, step int, rest long, before long"
-        )
-        inside = slim.withColumn("step", step).join(F.broadcast(at), ["pattern", "step"])
-        inside = inside.groupBy("pattern", "step", "rest", "before", "h").agg(
-            F.sum("size").alias("size")
-        )
+        for r in reached:
+            if r["at"] is None:  # all that fit are taken
+                self._take(r.pattern, _LAST, after)
+        at = [(r.pattern, *r["at"]) for r in reached if r["at"] is not None]
+        if not at:
+            return []
+        at = spark.createDataFrame(at, "pattern string, step long, before long")
+        inside = fitting.withColumn("step", step.cast("long")).join(F.broadcast(at), ["pattern", "step"])
+        inside = inside.groupBy("pattern", "rest", "before", "rank").agg(F.sum("size").alias("size"))
         inside.createOrReplaceTempView(view := "mix_inside")
-        last = spark.sql(
-            f"""SELECT pattern, max(CASE WHEN before + upto <= rest THEN h END) AS h,
-                  max(CASE WHEN before + upto <= rest THEN before + upto ELSE before END) AS took,
-                  first(step) AS step, first(rest) AS rest
-                FROM (SELECT *, sum(size) OVER (PARTITION BY pattern ORDER BY h) AS upto
+        ends = spark.sql(
+            f"""SELECT pattern, first(rest) AS rest, min(CASE WHEN before + upto > rest THEN rank END) AS next,
+                  max(CASE WHEN before + upto <= rest THEN before + upto ELSE before END) AS took
+                FROM (SELECT *, sum(size) OVER (PARTITION BY pattern ORDER BY rank) AS upto
                       FROM {view}) GROUP BY pattern"""
         ).collect()
-        left = []
-        for r in last:
-            # Nothing of the range is taken: the cut lies just before it.
-            low = (r.step << 52) - (1 << 64 if r.step >= 1 << 11 else 0)
-            self.cuts[r.pattern] = r.h if r.h is not None else _before(low)
-            left.append((r.pattern, self.cuts[r.pattern], r.rest - r.took))
-        self._fill(slim, [row for row in left if row[2]])
-
-    def _fill(self, slim: DataFrame, left: list[tuple[str, int, int]]) -> None:
-        if not left:
-            return
-        spark = slim.sparkSession
-        open_ = F.broadcast(spark.createDataFrame(left, "pattern string, cut long, open long"))
-        after = slim.join(open_, "pattern").filter(
-            (_order("h") > _order("cut")) & (F.col("size") > 0) & (F.col("size") <= F.col("open"))
-        )
-        after.withColumn("rank", _order("h")).createOrReplaceTempView(view := "mix_after")
-        near = spark.sql(
-            f"""SELECT pattern, h, size FROM (SELECT *, row_number() OVER (
-                  PARTITION BY pattern ORDER BY rank, size) AS place FROM {view})
-                WHERE place <= {FILLERS}"""
+        for r in ends:
+            self._take(r.pattern, r.next - 1, after)
+        return [(r.pattern, r.rest - r.took, r.next + 1, 1) for r in ends if r.rest > r.took and r.next < _LAST]
+
+    def _take(self, pattern: str, last: int, open_: dict) -> None:
+        rest, place, least = open_[pattern]
+        if last >= place:
+            self.runs.setdefault(pattern, []).append((place, last, least, rest))
+
+    def _fill(self, slim: DataFrame, open_: list) -> list[tuple[str, int, int, int]]:
+        """Takes the next ``FILLERS`` that fit one by one; patterns that may have more."""
+        if not open_:
+            return []
+        self._fitting(slim, open_).createOrReplaceTempView(view := "mix_after")
+        near = slim.sparkSession.sql(
+            f"""SELECT pattern, rank, size FROM (SELECT *, row_number() OVER (
+                  PARTITION BY pattern ORDER BY rank, size) AS n FROM {view})
+                WHERE n <= {FILLERS}"""
         ).collect()  # FILLERS rows per pattern at most
-        room = {pattern: words for pattern, _, words in left}
         found: dict[str, list[tuple[int, int]]] = {}
         for r in near:
-            found.setdefault(r.pattern, []).append((r.h % (1 << 64), r["size"]))
-        for pattern, rows in sorted(found.items()):
+            found.setdefault(r.pattern, []).append((r["rank"], r["size"]))
+        more = []
+        for pattern, room, place, least in open_:
+            rows = found.get(pattern, [])
             units: dict[int, int] = {}
-            for h, size in rows:
-                units[h] = units.get(h, 0) + size
+            for rank, size in rows:
+                units[rank] = units.get(rank, 0) + size
             if len(rows) == FILLERS:  # the last hash may go on beyond what was read
                 del units[max(units)]
-            for h, size in sorted(units.items()):
-                if size <= room[pattern]:
-                    room[pattern] -= size
-                    self.fillers.append((pattern, h - (1 << 64) if h >> 63 else h))
-
-    def joined(self, rows: DataFrame) -> DataFrame:
+            for rank, size in sorted(units.items()):
+                place = rank + 1
+                if size <= room:
+                    room -= size
+                    self.fillers.append((pattern, rank ^ _FIRST))
+            if len(rows) == FILLERS and room:
+                more.append((pattern, room, place, least))
+        return more
+
+    def joined(self, rows: DataFrame, size: Column) -> DataFrame:
         """``rows`` (with pattern and h) and their source_size, target and copies."""
         spark = rows.sparkSession
-        plan = [(p, size, target, copies, self.cuts.get(p)) for p, size, target, copies, _ in self.rows]
+        plan = [
+            (p, source, target, copies, self.runs.get(p, []))
+            for p, source, target, copies, _ in self.rows
+        ]
+        run = "struct<place: long, last: long, least: long, most: long>"
         plan = spark.createDataFrame(
-            plan, "pattern string, source_size long, target double, whole int, cut long"
+            plan, f"pattern string, source_size long, target double, whole int, runs array<{run}>"
         )
         more = spark.createDataFrame(self.fillers, "pattern string, h long").withColumn("more", F.lit(1))
-        cut = F.when(_order("h") <= _order("cut"), 1)
-        copies = F.col("whole") + F.coalesce(cut, F.col("more"), F.lit(0))
+        rank = _order("h")
+        taken = F.exists(
+            "runs",
+            lambda r: (rank >= r["place"]) & (rank <= r["last"]) & (size >= r["least"]) & (size <= r["most"]),
+        )
+        copies = F.col("whole") + F.when(taken, 1).otherwise(F.coalesce("more", F.lit(0)))
         return (
             rows.join(F.broadcast(plan), "pattern")
             .join(F.broadcast(more), ["pattern", "h"], "left")
             .withColumn("copies", copies)
-            .drop("whole", "cut", "more")
+            .drop("whole", "runs", "more")
         )
 
 
-def _order(column: str) -> Column:
-    """Signed values in the order of the unsigned ones."""
-    return F.col(column).bitwiseXOR(F.lit(-(1 << 63)))
+#: Signed values in the order of unsigned hashes: the first and the last.
+_FIRST, _LAST = -(1 << 63), (1 << 63) - 1
 
 
-def _before(value: int) -> int | None:
-    """The unsigned predecessor of a signed value, signed again; None before zero."""
-    unsigned = value % (1 << 64)
-    if not unsigned:
-        return None
-    unsigned -= 1
-    return unsigned - (1 << 64) if unsigned >> 63 else unsigned
+def _order(column: str) -> Column:
+    """Signed values in the order of the unsigned ones."""
+    return F.col(column).bitwiseXOR(F.lit(_FIRST))
 
 
 def mix(
@@ -316,7 +339,7 @@ def mix(
     """
     slim = stored(_slim(docs, sources, seed), "mix")
     plan = Plan(slim, weights, share, repeats)
-    return plan.joined(slim).select(
+    return plan.joined(slim, F.col("size")).select(
         "doc_id",
         "size",
         "source_size",
@@ -336,6 +359,7 @@ def mixed(
     rows = docs.select(
         packed(docs.columns), _pattern(sources).alias("pattern"), _hash(docs["doc_id"], docs["text"], seed).alias("h")
     )
-    chosen = plan.joined(rows).filter("copies > 0")
+    words = F.coalesce(F.regexp_count("kept.text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
+    chosen = plan.joined(rows, words).filter("copies > 0")
     repeated = chosen.select("kept", F.explode(F.sequence(F.lit(1), "copies")).alias("_copy"))
     return repeated.select("kept.*")
