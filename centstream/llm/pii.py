@@ -3,14 +3,16 @@
 Base spans come from the contract's four patterns and their checks; they always stay.
 High-recall generators propose further spans, which may overlap: written-out or spaced
 e-mail addresses, spaced or bracketed IP addresses, and runs of digit groups. Boosted
-trees learn from the corpus itself how base spans look (length, digits, grouping, signs,
-checksum) and what stands around them: proposals that a base span covers are positive,
-all others negative. A threshold per kind is calibrated on folds that the trees did not
-see, so that ``PRECISION`` of what passes is positive. Proposals above it that overlap
-no base span are added, the surest first.
+trees learn from the corpus itself how such spans look (length, digits, grouping, signs,
+checksum) and what stands around them: base spans rewritten into forms that the patterns
+miss are positive, look-alikes that break the kind's format negative; other proposals
+have no label. Proposals above their kind's threshold that overlap no base span are
+added, the surest first.
 
-The trees are fitted on proposals of at most about ``SAMPLE_DOCS`` documents, chosen by a
-hash of id and text; every document is scanned whole. Scanning is linear in the text.
+The trees are fitted on a bounded number of examples, spread over kinds and documents. A
+threshold per kind is then taken from the scores of every document's examples, by trees
+that did not see the document's fold, so that ``PRECISION`` of what passes is positive
+among examples. Every document is scanned whole. Scanning is linear in the text.
 
 Null is read as the empty text, which has no spans. Repeated rows get equal results.
 Offsets are code points, ends exclusive. Other columns are ignored or kept.
@@ -22,16 +24,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from centstream.llm import boosting
 from centstream.llm import words as W
 from centstream.llm.store import through
 
-SAMPLE_DOCS = 5000
-#: Proposals of the sample that train the trees.
+#: Examples that train the trees, the same share for each kind.
 SAMPLE_SPANS = 20_000
+FOLDS = 3
+#: Bins of scores that examples are counted in.
+BINS = 4096
+EXAMPLE = {
+    "kind": pa.int64(), "k": pa.int64(), "h": pa.int64(), "y": pa.int64(), "x": pa.list_(pa.float64())
+}
 PRECISION = 0.95
 KINDS = ("email", "ip", "card", "phone")
 
@@ -57,6 +64,8 @@ _LOOSE_IP = re.compile(
 )
 _NUMBERS = re.compile(r"(?<![0-9A-Za-z])[+(]?[0-9](?:[ ().\-/]{0,3}[0-9])++(?![0-9A-Za-z])")
 
+_LAST_LABEL = re.compile(r"[A-Za-z]*$")
+
 CUES = (
     "tel phone call fax mobil mail contact kontakt ip server host card visa account iban konto "
     "numero correo telefon llam appel password token version page id"
@@ -123,8 +132,10 @@ def proposals(text: str) -> list[tuple[int, int, int]]:
         out |= {(m.start(), 1, m.end()) for m in _LOOSE_IP.finditer(text)}
         for m in _NUMBERS.finditer(text):
             n = len(_NOT_DIGIT.sub("", m[0]))
-            if 7 <= n <= 19:
-                out.add((m.start(), 2 if n >= 12 and m[0][0] != "+" else 3, m.end()))
+            if 12 <= n <= 19 and m[0][0] != "+":
+                out.add((m.start(), 2, m.end()))
+            if 7 <= n <= 15:
+                out.add((m.start(), 3, m.end()))
     return sorted(out)
 
 
@@ -158,9 +169,57 @@ def describe(text: str, span: tuple[int, int, int]) -> list[float]:
         float(before[-1:] in ("$", "€", "£", "#", "/")),
         float(any(cue in before for cue in CUES)),
         float(any(cue in after for cue in CUES)),
+        float(max((len(g.lstrip("0")) * 1000 + int(g[:3]) for g in groups), default=0) <= 3255),
+        len(_LAST_LABEL.search(own)[0]),
     ]
 
 
+def rewritten(own: str, kind: int, pick: int) -> list[tuple[str, int]]:
+    """Forms of a base span that the patterns miss (1), and look-alikes of them (0)."""
+    digits = _NOT_DIGIT.sub("", own)
+    if kind == 0:
+        local, _, domain = own.rpartition("@")
+        at = (" (at) ", "(at)", "[at]", " [at] ", " at ", "{at}", " @ ")[pick % 7]
+        dot = (".", "(dot)", "[dot]", " dot ", " (dot) ")[3 if at == " at " else pick // 7 % 5]
+        labels = domain.split(".")
+        broken = [*labels[:-1], str(pick % 1000) if pick % 2 else labels[-1][:1]]
+        return [(local + at + dot.join(labels), 1), (local + at + dot.join(broken), 0)]
+    if kind == 1:
+        dot = ("[.]", "(.)", "(dot)", "[dot]", " . ")[pick % 5]
+        parts = [str(int(p)) for p in own.split(".")]
+        broken = list(parts)
+        broken[pick % 4] = str(256 + pick % 744)
+        return [(dot.join(parts), 1), (dot.join(broken), 0)]
+    if kind == 2:
+        gap = (".", "  ", "/", " - ", ". ")[pick % 5]
+        wrong = digits[:-1] + str((int(digits[-1]) + 1 + pick % 9) % 10)
+        return [(gap.join(d[k : k + 4] for k in range(0, len(d), 4)), y) for d, y in ((digits, 1), (wrong, 0))]
+    plain = own[1:] if pick % 2 else "00" + own[1:]
+    d = digits[-8:]
+    date = f"{1900 + int(d[:4]) % 200}-{1 + int(d[4:6]) % 12:02d}-{1 + int(d[6:8]) % 28:02d}"
+    amount = ("." if pick % 3 else " ").join((digits[:3], digits[3:6], digits[6:9]))
+    return [(plain, 1), ((date, amount, digits[: 7 + pick % 2])[pick // 2 % 3], 0)]
+
+
+def examples(text: str, h: int):
+    """(kind, number within kind, label, features) of known spans and rewritten ones.
+
+    A proposal that no base span covers says nothing: it may well be personal data. So
+    labels come from base spans as they stand, from rewritten forms of them in their
+    place, and from look-alikes that break the kind's format.
+    """
+    counts = [0] * len(KINDS)
+    for n, (start, kind, end) in enumerate(base_spans(text)):
+        left, right = text[max(0, start - 64) : start], text[end : end + 64]
+        for form, y in rewritten(text[start:end], kind, (h + 7919 * n) % 9973):
+            changed, own = left + form + right, (len(left), kind, len(left) + len(form))
+            for p in proposals(changed):
+                if _covered(p, [own]) and _covered(own, [p]):
+                    label = y if p[1] == kind else 0  # of another kind: not what it is
+                    yield p[1], counts[p[1]], label, describe(changed, p)
+                    counts[p[1]] += 1
+
+
 def _covered(span: tuple, base: list[tuple]) -> bool:
     """Whether base spans share at least four fifths of a proposal."""
     length = span[2] - span[0]
@@ -194,54 +253,74 @@ class Model:
         return sorted(out)
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Trees and thresholds from the base spans of a sample of documents."""
-    n = docs.count()
-    part = min(1.0, sample_docs / max(n, 1))
-    mixed = F.xxhash64(F.lit("sample"), F.col("doc_id").cast("long"), "text")
-    rows = docs.select(mixed.alias("h"), "text")
-    rows = rows.filter(F.pmod("h", F.lit(1 << 30)) < int(part * (1 << 30)))
+def train(docs: DataFrame, sample_spans: int = SAMPLE_SPANS) -> Model:
+    """Trees from examples of all kinds and many documents; thresholds from all examples."""
+    h = F.xxhash64(F.lit("sample"), F.col("doc_id").cast("long"), "text").alias("h")
+    rows = docs.select(h, "text")
 
     def look(batches):
         for batch in batches:
-            hs, xs, ys, order = [], [], [], []
-            for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                text = text or ""
-                base = base_spans(text)
-                for k, span in enumerate(proposals(text)):
-                    hs.append(h)
-                    order.append(k)
-                    xs.append(describe(text, span))
-                    near = [b for b in base if b[0] < span[2] and span[0] < b[2]]
-                    ys.append(int(_covered(span, near)))
+            out = [
+                (kind, k, h, y, x)
+                for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                for kind, k, y, x in examples(text or "", h)
+                if k < sample_spans
+            ]
+            columns = zip(*out, strict=True) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(hs, pa.int64()), pa.array(order, pa.int64()),
-                    pa.array(ys, pa.int64()), pa.array(xs, pa.list_(pa.float64())),
-                ],
-                ["h", "k", "y", "x"],
-            )
-
-    found = rows.mapInArrow(look, "h long, k long, y long, x array<double>")
-    got = sorted(tuple(r) for r in found.orderBy("h", "k").limit(SAMPLE_SPANS).collect())
-    if not got or len({r[2] for r in got}) < 2:
+                [pa.array(c, t) for c, t in zip(columns, EXAMPLE.values(), strict=True)], list(EXAMPLE)
+            )
+
+    # Every document's first example of a kind comes before any second one.
+    place = F.row_number().over(Window.partitionBy("kind").orderBy("k", "h", "y", "x"))
+    found = rows.mapInArrow(look, "kind long, k long, h long, y long, x array<double>")
+    found = found.withColumn("place", place).filter(F.col("place") <= sample_spans // len(KINDS))
+    got = sorted(tuple(r) for r in found.drop("place").collect())
+    if not got or len({r[3] for r in got}) < 2:
         return Model(None, (2.0,) * len(KINDS))
-    x, y = np.array([r[3] for r in got]), np.array([r[2] for r in got], float)
-    fold = np.array([r[0] % 3 for r in got])
+    x, y = np.array([r[4] for r in got]), np.array([r[3] for r in got], float)
+    fold = np.array([r[2] % FOLDS for r in got])
     trees = boosting.fit_calibrated(x, y, fold)
-    unseen = np.zeros(len(y))
-    for k in np.unique(fold):
-        own = boosting.fit(x[fold != k], y[fold != k])
-        unseen[fold == k] = own.margin(x[fold == k])
-    scores = np.interp(unseen, trees.knots, trees.levels)
-    return Model(trees, tuple(_threshold(scores[x[:, 0] == k], y[x[:, 0] == k]) for k in range(4)))
-
-
-def _threshold(scores: np.ndarray, y: np.ndarray) -> float:
-    """Least score from which on ``PRECISION`` of the proposals are positive."""
-    order = np.argsort(-scores, kind="stable")
-    good = np.cumsum(y[order]) / np.arange(1, len(y) + 1) >= PRECISION
-    return float(scores[order][np.flatnonzero(good)[-1]]) if good.any() else 2.0
+    unseen = [boosting.fit(x[fold != k], y[fold != k]) for k in range(FOLDS)]
+    for own in unseen:
+        own.knots, own.levels = trees.knots, trees.levels
+    return Model(trees, _thresholds(rows, unseen))
+
+
+def _thresholds(rows: DataFrame, unseen: list[boosting.Trees]) -> tuple[float, ...]:
+    """Each kind's threshold from the scores of every document's examples.
+
+    A document is scored by the trees that saw none of its fold.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(unseen)
+
+    def count(batches):
+        total = np.zeros((len(KINDS), BINS + 1, 2), np.int64)
+        for batch in batches:
+            folds = [[] for _ in range(FOLDS)]
+            for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                folds[h % FOLDS] += examples(text or "", h)
+            for trees, own in zip(shared.value, folds, strict=True):
+                if own:
+                    scores = trees.score(np.array([e[3] for e in own]))
+                    kind, y = (np.array([e[k] for e in own]) for k in (0, 2))
+                    np.add.at(total, (kind, (scores * BINS).astype(int), y), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], ["at", "n"])
+
+    total = np.zeros(len(KINDS) * (BINS + 1) * 2, np.int64)
+    counted = rows.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n"))
+    for at, n in counted.collect():  # a row per kind, bin and label at most
+        total[at] = n
+    return tuple(_threshold(own) for own in total.reshape(len(KINDS), BINS + 1, 2))
+
+
+def _threshold(counts: np.ndarray) -> float:
+    """Least bin of scores from which on ``PRECISION`` of the examples are positive."""
+    both = np.cumsum(counts[::-1], axis=0)[::-1]
+    rows = both.sum(1)
+    good = (both[:, 1] >= PRECISION * rows) & (counts.sum(1) > 0)
+    return float(np.flatnonzero(good)[0] / BINS) if good.any() else 2.0
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
