@@ -3,8 +3,8 @@ what is left is mixed to target weights and put into shards.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all that the one before kept.
 All but the last return the columns of documents. A document that the mix repeats is
-two rows. The stages' parameters are the production ones of their operators, but near-copies
-are those of ``near`` (Jaccard 0.8 of five-word runs), not op4's links of fingerprints.
+two rows. The stages' parameters are the production ones of their operators: near-copies
+are documents whose fingerprints of three-word shingles are linked at two bits or fewer.
 """
 
 from collections.abc import Callable
@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from centstream.llm import decontaminate, mixing, near, sharding, toxicity
+from centstream.llm import decontaminate, mixing, sharding, simhash, toxicity
 from centstream.llm.store import stored
 
 
@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
