@@ -53,5 +53,95 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """
 
 
+#: CRC-32 of the sixteen half bytes.
+CRC_STEPS = (
+    "[0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, "
+    "3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]"
+)
+
+
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of a text expression, a half byte at a time."""
+    digits = f"hex(encode({text}))"
+    halves = (
+        f"list_transform(range(length({digits})), "
+        f"lambda i: strpos('0123456789ABCDEF', substr({digits}, (xor(i, 1) + 1)::INT, 1)) - 1)"
+    )
+    step = f"lambda c, h: xor({CRC_STEPS}[(xor(c, h) & 15) + 1], c >> 4)"
+    return f"xor(list_reduce({halves}::BIGINT[], {step}, 4294967295), 4294967295)"
+
+
+OP11 = f"""
+WITH turns AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x
+  FROM conversations WHERE conv_id IS NOT NULL),
+told AS MATERIALIZED (
+  SELECT c, {crc32("CAST(c AS VARCHAR)")} % 6 AS h, list({{'r': r, 'x': x}} ORDER BY turn NULLS FIRST,
+    sha256(length(r) || ':' || r || x)[1:32]) AS ts FROM turns GROUP BY c),
+built AS MATERIALIZED (
+  SELECT own.c, list_concat(list_slice(coalesce(base.ts, []), 1, own.h),
+    list_slice(own.ts, own.h + 1, len(own.ts))) AS ts
+  FROM told AS own LEFT JOIN told AS base ON base.c = own.c - own.c % 100),
+node AS MATERIALIZED (
+  SELECT k, len(k) AS d, min(c) AS c, count(*) AS n,
+    coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '') AS ids
+  FROM (SELECT c, list_slice(ts, 1, d) AS k, len(ts) = d AS ends
+        FROM (SELECT c, ts, unnest(range(0, len(ts) + 1)) AS d FROM built)) GROUP BY k),
+kids AS (SELECT list_slice(k, 1, d - 1) AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+own AS MATERIALIZED (
+  SELECT node.*, coalesce(kids.n, 0) AS n_kids,
+    CASE WHEN d = 0 THEN 0 ELSE (node.n - 1) * length(node.k[-1].x) END AS saved
+  FROM node LEFT JOIN kids USING (k)),
+below AS (
+  SELECT list_slice(k, 1, up) AS k, sum(saved) AS saved, count(*) FILTER (WHERE n_kids = 0) AS leaves
+  FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM own) GROUP BY 1)
+SELECT own.c AS conv_id, own.d AS depth, parent.c AS parent_conv_id, own.n AS n_convs,
+  own.n_kids AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens,
+  sha256(own.ids) AS ends_sha256
+FROM own JOIN below USING (k)
+LEFT JOIN node AS parent ON own.d > 0 AND parent.k = list_slice(own.k, 1, own.d - 1)
+"""
+
+
+OP12 = f"""
+WITH run AS (
+  SELECT id, r, count(*) AS n FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+      unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-zÀ-ÿ]+')) AS r
+    FROM documents) GROUP BY ALL),
+hashed AS (SELECT *, {crc32("id || ':' || r")} AS h FROM run),
+word AS MATERIALIZED (
+  SELECT w, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 97 = 0
+      THEN r[1:(h % length(r))::INT] || r[((h % length(r)) + 2)::INT:length(r)] ELSE r END AS w FROM hashed)
+  WHERE length(w) >= 5 GROUP BY w HAVING sum(n) >= 3),
+less AS MATERIALIZED (
+  SELECT w, i, w[1:i - 1] || w[i + 1:length(w)] AS v
+  FROM (SELECT w, unnest(range(1, length(w) + 1)) AS i FROM word)),
+near AS MATERIALIZED (
+  SELECT a.w AS w, b.w AS v FROM less AS a JOIN less AS b USING (v, i) WHERE a.w <> b.w
+  UNION SELECT w, v FROM less WHERE v IN (SELECT w FROM word)
+  UNION SELECT v, w FROM less WHERE v IN (SELECT w FROM word)),
+best AS MATERIALIZED (
+  SELECT near.w, count(*) AS n_near, max(word.n) AS most, arg_min(near.v, (-word.n, encode(near.v))) AS f
+  FROM near JOIN word ON word.w = near.v GROUP BY near.w),
+known AS MATERIALIZED (
+  SELECT word.w, word.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN most >= 2 * word.n THEN f END AS form, CASE WHEN most >= 2 * word.n THEN most END AS form_n
+  FROM word LEFT JOIN best USING (w)),
+chain AS (
+  WITH RECURSIVE step(w, here) AS (
+    SELECT w, w FROM known
+    UNION ALL SELECT step.w, known.form FROM step JOIN known ON known.w = step.here WHERE known.form IS NOT NULL)
+  SELECT step.w, step.here AS root FROM step JOIN known ON known.w = step.here WHERE known.form IS NULL)
+SELECT w AS word, form, root, n, n_near, form_n FROM known JOIN chain USING (w)
+"""
+
+
 def sql() -> dict[str, str]:
-    return {"op1_benchmark_decontamination": OP1, "op3_url_filter": OP3}
+    return {
+        "op1_benchmark_decontamination": OP1,
+        "op3_url_filter": OP3,
+        "op11_conversation_prefix_trie": OP11,
+        "op12_spelling_variants": OP12,
+    }

@@ -5,7 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from centstream.llm import decontaminate, embeddings, licenses, lines, mixing, oracles, pii, sharding, simhash, toxicity, urls
+from centstream.llm import (
+    conversations, decontaminate, embeddings, licenses, lines, mixing, oracles, pii, sharding, simhash, spelling,
+    toxicity, urls,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +70,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.trie(*conversations.rebuilt(_table(spark, sf_dir, "conversations")))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_source_mixing": op2_source_mixing,
@@ -78,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_line_dedup": op9_line_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 
