@@ -197,7 +197,7 @@ def _scan(rows: pa.Table) -> pa.RecordBatch | None:
         one, two = one[own], two[own]
         of += [one, two[long[two]]]
         to += [two, one[long[two]]]
-    of, to = np.concatenate(of), np.concatenate(to)
+    of, to = (np.concatenate([np.zeros(0, np.int64), *found]) for found in (of, to))
     if not len(of):
         return None
     partners = np.unique(to)
