@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from centstream.llm import (
-    conversations, decontaminate, embeddings, licenses, lines, mixing, oracles, pii, sharding, simhash, spelling,
-    toxicity, urls,
+    conversations, decontaminate, embeddings, licenses, lines, mixing, oracles, pii, scoring, sharding, simhash,
+    spelling, toxicity, urls,
 )
 
 
@@ -78,6 +78,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(_table(spark, sf_dir, "documents")))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.scores(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_source_mixing": op2_source_mixing,
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scan": op10_license_scan,
     "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_lm_scoring": op13_lm_scoring,
 }
 
 

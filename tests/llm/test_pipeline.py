@@ -49,4 +49,4 @@ def test_queries_with_sql_give_its_rows(spark, sf_dir):
 
 def test_every_operator_is_registered():
     names = sorted(int(name[2:].partition("_")[0]) for name in queries.queries())
-    assert names == list(range(1, 13))
+    assert names == list(range(1, 14))
