@@ -18,7 +18,8 @@ the files that a version holds, and no payment.
 import json
 import logging
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
@@ -61,6 +62,18 @@ JOINED = "joined"
 # so that the table is not shuffled; beyond it both sides are.
 MAX_BROADCAST_KEY_BYTES = 64 * 1024 * 1024
 
+# Batches of up to this many keys are looked up by value: row groups whose Bloom filter or
+# dictionary has none of them are skipped. Larger ones read the key column.
+MAX_LOOKUP_KEYS = 2000
+IN_THRESHOLD = "spark.sql.parquet.pushdown.inFilterThreshold"
+# With so many keys asked for, one in five hundred row groups is read for nothing.
+KEY_FILTER = {
+    "parquet.bloom.filter.enabled#event_id": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    "parquet.bloom.filter.fpp#event_id": "0.000001",
+    "parquet.bloom.filter.max.bytes": str(8 * 1024 * 1024),
+}
+
 
 class Piece(NamedTuple):
     """One day of one part, less the files that later parts replaced."""
@@ -238,10 +251,10 @@ class PaymentsTable:
             scope = None if key_scope == WHOLE_TABLE else [piece.day for piece in new]
             old = before.pieces(scope)
             if first_wins:
-                new, stale = self._later_than_stored(new, seen["key_bytes"], old, first_wins)
+                new, stale = self._later_than_stored(new, seen, old, first_wins)
                 after = before.changed(new)
             else:
-                stale = self._files_holding(self._keys(new, seen["key_bytes"]), old)
+                stale = self._files_holding(new, seen, old)
             if stale:
                 keys = self._keys(new, seen["key_bytes"])
                 kept = self._read_files(stale).join(keys, "event_id", "left_anti")
@@ -344,21 +357,49 @@ class PaymentsTable:
         keys = self._scan(pieces).select("event_id", *more)
         return F.broadcast(keys) if key_bytes <= MAX_BROADCAST_KEY_BYTES else keys
 
-    def _hits(self, keys: DataFrame, pieces: list[Piece]) -> DataFrame:
+    def _asked_for(self, stored: DataFrame, new: list[Piece], rows: int) -> DataFrame:
+        """``stored`` less row groups that hold no key of a small batch.
+
+        For a larger batch it is ``stored`` itself. The caller joins with the keys.
+        """
+        if rows > MAX_LOOKUP_KEYS:
+            return stored
+        keys = [row.event_id for row in self._scan(new).select("event_id").collect()]
+        return stored.where(F.col("event_id").isin(keys))
+
+    @contextmanager
+    def _pushing_keys(self) -> Iterator[None]:
+        """Let the reader test every key of a lookup and not only their least and greatest."""
+        before = self.spark.conf.get(IN_THRESHOLD, None)
+        self.spark.conf.set(IN_THRESHOLD, str(MAX_LOOKUP_KEYS))
+        try:
+            yield
+        finally:
+            if before is None:
+                self.spark.conf.unset(IN_THRESHOLD)
+            else:
+                self.spark.conf.set(IN_THRESHOLD, before)
+
+    def _hits(self, new: list[Piece], seen: dict[str, int], old: list[Piece]) -> DataFrame:
         """The file of every stored key of the batch. Reads the key column only."""
         file = F.col("_metadata.file_name").alias("file")
-        stored = self._scan(pieces).select("event_id", "part", "event_day", file)
+        stored = self._scan(old).select("event_id", "part", "event_day", file)
+        stored = self._asked_for(stored, new, seen["rows"])
+        keys = self._keys(new, seen["key_bytes"])
         return stored.join(keys, "event_id", "left_semi").select("part", "event_day", "file")
 
-    def _files_holding(self, keys: DataFrame, pieces: list[Piece]) -> list[StoredFile]:
-        if not pieces:
+    def _files_holding(
+        self, new: list[Piece], seen: dict[str, int], old: list[Piece]
+    ) -> list[StoredFile]:
+        if not old:
             return []
-        # At most one row per file comes back.
-        found = self._hits(keys, pieces).distinct().collect()
+        with self._pushing_keys():
+            # At most one row per file comes back.
+            found = self._hits(new, seen, old).distinct().collect()
         return [StoredFile(row.part, row.event_day.isoformat(), row.file) for row in found]
 
     def _later_than_stored(
-        self, new: list[Piece], key_bytes: int, old: list[Piece], within: str
+        self, new: list[Piece], seen: dict[str, int], old: list[Piece], within: str
     ) -> tuple[list[Piece], list[StoredFile]]:
         """The new part without copies of stored rows, and the files that it replaces rows of.
 
@@ -367,14 +408,17 @@ class PaymentsTable:
         """
         if not old:
             return new, []
-        keys = self._keys(new, key_bytes, F.col("event_time").alias("again_at"))
+        keys = self._keys(new, seen["key_bytes"], F.col("event_time").alias("again_at"))
         file = F.col("_metadata.file_name").alias("file")
         stored = self._scan(old).select("event_id", "event_time", "part", "event_day", file)
+        stored = self._asked_for(stored, new, seen["rows"])
         copy = F.col("again_at") < F.col("event_time") + F.expr(f"INTERVAL '{within}'")
         folder = f"scratch/{uuid.uuid4().hex}"
-        stored.join(keys, "event_id").select(
+        met = stored.join(keys, "event_id").select(
             "event_id", "part", "event_day", "file", copy.alias("copy")
-        ).write.parquet(f"{self.root}/{folder}")
+        )
+        with self._pushing_keys():
+            met.write.parquet(f"{self.root}/{folder}")
         met = self.spark.read.schema(MET_DDL).parquet(f"{self.root}/{folder}")
         copies = met.where("copy").select("event_id")
         if not copies.isEmpty():
@@ -403,7 +447,8 @@ class PaymentsTable:
             finish(rows.withColumn("event_day", day).hint("rebalance", F.col("event_day")))
             .select(*TABLE_COLUMNS, day.alias("event_day"))
             .sortWithinPartitions("event_day", "currency", "event_time")
-            .write.partitionBy("event_day")
+            .write.options(**KEY_FILTER)
+            .partitionBy("event_day")
             .parquet(f"{self._data}/part={part}")
         )
         days = self._files.children(f"data/part={part}", "event_day=")

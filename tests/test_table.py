@@ -131,6 +131,74 @@ def test_only_files_with_a_stored_key_are_rewritten(spark, table):
     assert table.read().count() == 4000
 
 
+def rows_read(df):
+    """Rows that the scans of a plan gave when it was run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if "AdaptiveSparkPlan" in plan.nodeName():
+        plan = plan.executedPlan()
+    leaves, total = plan.collectLeaves(), 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        while "Stage" in leaf.nodeName():
+            leaf = leaf.plan().collectLeaves().apply(0)
+        if "Scan parquet" in leaf.nodeName():
+            total += leaf.metrics().apply("numOutputRows").value()
+    return total
+
+
+def many_files(spark, table, files, per_file):
+    """A table of so many files of one row group; ids are spread over all of them."""
+    rows = spark.range(files * per_file).selectExpr(
+        "md5(CAST(id AS STRING)) AS event_id", "'pi' AS payment_id", "'t' AS event_type",
+        "1L AS amount_minor", "CAST(1 AS DECIMAL(18,3)) AS amount_major", "'gbp' AS currency",
+        "'s' AS payment_status", "'first' AS description", "CAST(NULL AS STRING) AS customer_id",
+        "true AS livemode", "true AS is_successful",
+        f"timestampadd(DAY, CAST(id % {files} AS INT), TIMESTAMP '2024-01-01') AS event_time",
+        "TIMESTAMP '2024-01-01' AS received_at", "TIMESTAMP '2024-01-01' AS processed_at",
+        "'stripe' AS source",
+    )
+    table.upsert(rows, unique=True)
+
+
+@pytest.mark.parametrize("dictionary", ["true", "false"])
+def test_lookup_of_a_thousand_keys_reads_a_tenth_of_the_row_groups(spark, table, dictionary):
+    files, per_file = 100, 400
+    spark.conf.set("parquet.enable.dictionary", dictionary)  # without one, the Bloom filter decides
+    try:
+        many_files(spark, table, files, per_file)
+    finally:
+        spark.conf.unset("parquet.enable.dictionary")
+    assert len(table.read().inputFiles()) == files
+    old = table.state().pieces()
+    known = [f"{i:032x}" for i in range(997)]
+    stored = spark.range(1).selectExpr("md5('7') a", "md5('1007') b", "md5('2007') c").first()
+    new = table._write_part(batch(spark, *(row(k) for k in [*known, *stored])), with_raw_event)
+    seen = {"rows": 1000, "key_bytes": 32_000}
+    with table._pushing_keys():
+        hits = table._hits(new, seen, old)
+        found = hits.collect()
+    assert {r.event_day.isoformat() for r in found} == {"2024-01-08"} and len(found) == 3
+    assert rows_read(hits) - 1000 <= files * per_file / 10
+    assert spark.conf.get(tables.IN_THRESHOLD) == "10"
+
+
+def test_lookups_by_value_and_by_scan_agree(spark, table, monkeypatch):
+    table.upsert(batch(spark, *(row(f"k{i}", day=1 + i % 9) for i in range(90))))
+    again = batch(spark, row("k3", note="second"), row("k44", day=20, note="second"), row("new"))
+    monkeypatch.setattr(tables, "MAX_LOOKUP_KEYS", 0)
+    scanned = PaymentsTable(spark, new_folder(spark, "table"))
+    scanned.upsert(table.read().withColumn("source", F.lit("stripe")))
+    scanned.upsert(again)
+    monkeypatch.undo()
+    table.upsert(again)
+    assert notes(table.read()) == notes(scanned.read())
+    late = batch(spark, row("k3", note="third"), row("k5", day=28, note="third"))
+    for each, most in ((table, 2000), (scanned, 0)):
+        monkeypatch.setattr(tables, "MAX_LOOKUP_KEYS", most)
+        each.upsert(late, first_wins="1 day")
+    assert notes(table.read()) == notes(scanned.read())
+
+
 def test_large_batches_join_without_broadcast(spark, table, monkeypatch):
     monkeypatch.setattr(tables, "MAX_BROADCAST_KEY_BYTES", 0)
     table.upsert(batch(spark, row("a"), row("b")))
