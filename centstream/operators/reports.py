@@ -79,6 +79,33 @@ def day_totals(payments: DataFrame, *more: str) -> DataFrame:
     return payments.groupBy(*more, day, "currency", "payment_status").agg(*_totals(payments))
 
 
+def changes_of(rows: DataFrame) -> DataFrame:
+    """Hourly sums of payments with a ``sign``: 1 for those that came, -1 for those that went."""
+    success = F.when(F.col("is_successful"), F.col("sign")).otherwise(0)
+    amount = F.when(F.col("is_successful"), F.col("amount_major") * F.col("sign"))
+    hour = F.date_trunc("hour", "event_time").alias("hour")
+    return rows.groupBy(hour, "currency", "payment_status").agg(
+        F.sum("sign").cast("bigint").alias("event_count"),
+        F.sum(success).cast("bigint").alias("successful_count"),
+        F.coalesce(F.sum(amount), F.lit(0)).cast("decimal(38,3)").alias("successful_amount"),
+    )
+
+
+def summed(changes: DataFrame, when: Column) -> DataFrame:
+    """Changes added up per ``when``, currency and status."""
+    return changes.groupBy(when, "currency", "payment_status").agg(*_totals(changes))
+
+
+def windows(rollup: DataFrame, hours: int = 1) -> DataFrame:
+    """Events, successes and their amount per window of so many whole hours and currency.
+
+    ``rollup`` is that of a table, so the windows agree with the table whatever came late
+    or was overwritten.
+    """
+    start = F.window("hour", f"{hours} hours")["start"].alias("window_start")
+    return rollup.groupBy(start, "currency").agg(*_totals(rollup))
+
+
 def currencies(payments: DataFrame) -> DataFrame:
     """Currencies present, in order."""
     return payments.select("currency").distinct().orderBy("currency")

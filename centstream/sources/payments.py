@@ -10,9 +10,10 @@ batch of new keys costs no rewrite. ``compact`` joins the small parts of a day,
 the files that no kept version needs. One writer at a time; a second one that
 commits the same version fails.
 
-Before a commit, the counts and amounts of each new file are added up per day, currency
-and status into ``totals/part=<id>/``. Reports that only add up read these rows, those of
-the files that a version holds, and no payment.
+Before a commit, what it changes is added up per hour, currency and status into a folder of
+``rollup/``: rows that came count up, rows that were replaced count down. The sum over the
+folders that a version lists is what it holds, so windows and reports that only add up read
+no payment, and late rows and overwrites count like any others.
 """
 
 import json
@@ -23,7 +24,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from centstream.contract import TABLE_COLUMNS, TABLE_DDL, VALID_COLUMNS
@@ -31,10 +32,11 @@ from centstream.operators.quality import observed
 from centstream.operators.reports import (
     DEFAULT_RECENT,
     MAX_RECENT,
-    day_totals,
+    changes_of,
     of_currency,
     recent_limit,
     recent_payments,
+    summed,
 )
 from centstream.operators.upsert import one_row_per_key, with_raw_event
 from centstream.session import require_utc
@@ -43,9 +45,9 @@ from centstream.sources.files import Folder
 LOGGER = logging.getLogger(__name__)
 
 STORED_DDL = TABLE_DDL + ", part STRING, event_day DATE"
-TOTALS_DDL = (
-    "file STRING, event_day DATE, currency STRING, payment_status STRING, event_count BIGINT, "
-    "successful_count BIGINT, successful_amount DECIMAL(38,3), part STRING"
+ROLLUP_DDL = (
+    "hour TIMESTAMP, currency STRING, payment_status STRING, event_count BIGINT, "
+    "successful_count BIGINT, successful_amount DECIMAL(38,3)"
 )
 MET_DDL = "event_id STRING, part STRING, event_day DATE, file STRING, copy BOOLEAN"
 
@@ -91,11 +93,15 @@ class StoredFile(NamedTuple):
 
 @dataclass(frozen=True)
 class TableState:
-    """One version: per day its parts with their replaced files; per stream its last batch."""
+    """One version: per day its parts with their replaced files; per stream its last batch.
+
+    ``rollup`` lists the folders that add up to it; None in tables from before there were any.
+    """
 
     version: int = 0
     days: dict[str, dict[str, list[str]]] = field(default_factory=dict)
     streams: dict[str, int] = field(default_factory=dict)
+    rollup: list[str] | None = field(default_factory=list)
 
     def pieces(self, days: Iterable[str] | None = None) -> list[Piece]:
         wanted = self.days if days is None else [day for day in days if day in self.days]
@@ -122,7 +128,8 @@ class TableState:
         for piece in added:
             days.setdefault(piece.day, {})[piece.part] = []
         kept = {day: parts for day, parts in sorted(days.items()) if parts}
-        return TableState(self.version + 1, kept, dict(self.streams))
+        rollup = None if self.rollup is None else list(self.rollup)
+        return TableState(self.version + 1, kept, dict(self.streams), rollup)
 
 
 class PaymentsTable:
@@ -146,7 +153,8 @@ class PaymentsTable:
             version = max(self._version_ages(), default=0)
         if version == 0:
             return TableState()
-        return TableState(**json.loads(self._files.read_text(self._state_name(version))))
+        body = json.loads(self._files.read_text(self._state_name(version)))
+        return TableState(**{"rollup": None} | body)
 
     def read(
         self, version: int | None = None, days: Iterable[str] | None = None
@@ -161,26 +169,21 @@ class PaymentsTable:
         """The latest version, for reports that shall agree."""
         return PaymentsTable(self.spark, self.root, self.state().version)
 
+    def rollup(self, version: int | None = None) -> DataFrame:
+        """Events, successes and their amount per hour, currency and status. Reads no payment."""
+        return self._added_up(version, F.col("hour"))
+
     def totals(self, version: int | None = None) -> DataFrame:
-        """Day totals of one version, for the reports that take them. Reads no payment.
+        """Day totals of one version, for the reports that take them. Reads no payment."""
+        return self._added_up(version, F.to_date("hour").alias("event_day"))
 
-        A day, currency and status may have several rows, one per file, to be added up.
-        """
-        pieces = self.state(version).pieces()
-        names = TOTALS_DDL.replace("file STRING, ", "").replace(", part STRING", "")
-        if not pieces:
-            return self.spark.createDataFrame([], names)
-        parts = sorted({piece.part for piece in pieces})
-        reader = self.spark.read.schema(TOTALS_DDL).option("basePath", f"{self.root}/totals")
-        rows = reader.parquet(*(f"{self.root}/totals/part={part}" for part in parts))
-        # The state file lists the same; ``compact`` bounds the pieces of a day.
-        live = self.spark.createDataFrame(
-            [(piece.part, piece.day, list(piece.replaced)) for piece in pieces],
-            "part STRING, event_day STRING, replaced ARRAY<STRING>",
-        ).withColumn("event_day", F.col("event_day").cast("date"))
-        held = rows.join(F.broadcast(live), ["part", "event_day"])
-        held = held.where(~F.array_contains("replaced", F.col("file")))
-        return held.select(*(name.split()[0] for name in names.split(", ")))
+    def _added_up(self, version: int | None, when: Column) -> DataFrame:
+        state = self.state(version)
+        if state.rollup is None:
+            changes = changes_of(self.read(state.version).withColumn("sign", F.lit(1)))
+        else:
+            changes = self._changes(state.rollup)
+        return summed(changes, when).where("event_count > 0")
 
     def recent(
         self,
@@ -191,20 +194,18 @@ class PaymentsTable:
     ) -> DataFrame:
         """Latest payments of a currency, reading only as many days as needed.
 
-        The day totals say which: those with payments of the currency, the newest
-        first, until they hold enough. No payment is read before the result is.
+        The day totals say which: the newest with payments of the currency, until they
+        hold enough. They are asked when the result is, and older days are then pruned.
         """
         state = self.state(version)
         wanted = recent_limit(limit, ceiling)
-        counts = of_currency(self.totals(state.version), currency).groupBy("event_day")
-        newest = counts.agg(F.sum("event_count")).orderBy(F.desc("event_day")).limit(wanted)
-        days, held = [], 0
-        for day, events in newest.collect():  # ``wanted`` rows at most
-            if held >= wanted:
-                break
-            days.append(day.isoformat())
-            held += events
-        return recent_payments(self._scan(state.pieces(days)), currency, limit, ceiling)
+        days = of_currency(self.totals(state.version), currency).groupBy("event_day")
+        days = days.agg(F.sum("event_count").alias("events"))  # a row per day
+        newer = Window.orderBy(F.desc("event_day")).rowsBetween(Window.unboundedPreceding, -1)
+        held = F.coalesce(F.sum("events").over(newer), F.lit(0))
+        oldest = days.withColumn("held", held).where(F.col("held") < wanted).agg(F.min("event_day"))
+        rows = self._scan(state.pieces()).where(F.col("event_day") >= oldest.scalar())
+        return recent_payments(rows, currency, limit, ceiling)
 
     # Writing
 
@@ -247,6 +248,7 @@ class PaymentsTable:
         # An empty batch may be planned away, and its counts with it.
         seen = watch.get if new else {"rows": 0, "key_bytes": 0}
         after = before.changed(new)
+        stale: list[StoredFile] = []
         if new and before.days:
             scope = None if key_scope == WHOLE_TABLE else [piece.day for piece in new]
             old = before.pieces(scope)
@@ -262,7 +264,8 @@ class PaymentsTable:
                 after = self._without_empty(before.changed(added, replaced=stale), stale)
         if batch_id is not None:
             after.streams[stream] = batch_id
-        self._add_up(after, before)
+        if new and after.rollup is not None:
+            after.rollup.append(self._write_changes(new, stale, seen["key_bytes"]))
         self._commit(after)
         LOGGER.info("stream=%s batch_id=%s rows=%s", stream, batch_id, seen["rows"])
         return after
@@ -282,11 +285,13 @@ class PaymentsTable:
                 scattered += pieces
             elif len(loose) > max_loose:
                 scattered += loose
-        if not scattered:
+        folders = before.rollup or []
+        if not scattered and len(folders) <= max_loose:
             return before
-        joined = self._write_part(self._scan(scattered), kind=JOINED)
+        joined = self._write_part(self._scan(scattered), kind=JOINED) if scattered else []
         after = before.changed(joined, dropped=scattered)
-        self._add_up(after, before)
+        if len(folders) > 1:
+            after.rollup[:] = [self._write_rollup(summed(self._changes(folders), F.col("hour")))]
         self._commit(after)
         return after
 
@@ -304,7 +309,9 @@ class PaymentsTable:
         # A part that only a version between the first and the last ones kept needs
         # was written since the first, so its age keeps it.
         ends = {*kept[:1], *kept[-keep_versions:]}
-        needed = {piece.part for version in ends for piece in self.state(version).pieces()}
+        states = [self.state(version) for version in ends]
+        needed = {piece.part for state in states for piece in state.pieces()}
+        summed_up = {folder for state in states for folder in state.rollup or ()}
         stale = [
             part
             for part, age in self._files.ages("data", "part=").items()
@@ -314,7 +321,9 @@ class PaymentsTable:
             self._files.delete(self._state_name(version))
         for part in stale:
             self._files.delete(f"data/part={part}")
-            self._files.delete(f"totals/part={part}")
+        for folder, age in self._files.ages("rollup").items():
+            if folder not in summed_up and age >= keep_hours:
+                self._files.delete(f"rollup/{folder}")
         return len(stale)
 
     # Files
@@ -454,17 +463,30 @@ class PaymentsTable:
         days = self._files.children(f"data/part={part}", "event_day=")
         return [Piece(part, name) for name in days]
 
-    def _add_up(self, state: TableState, before: TableState) -> None:
-        """Write the totals of the new parts, per file, as files are what gets replaced."""
-        known = {piece.part for piece in before.pieces()}
-        new = [piece for piece in state.pieces() if piece.part not in known]
-        if new:
-            named = self._scan(new).withColumn("file", F.col("_metadata.file_name"))
-            totals = day_totals(named, "part", "file")
-            totals.write.mode("append").partitionBy("part").parquet(f"{self.root}/totals")
+    def _changes(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], ROLLUP_DDL)
+        reader = self.spark.read.schema(ROLLUP_DDL)
+        return reader.parquet(*(f"{self.root}/rollup/{folder}" for folder in folders))
+
+    def _write_changes(self, new: list[Piece], stale: list[StoredFile], key_bytes: int) -> str:
+        """Add up the rows that came, less those of ``stale`` files that they replace."""
+        names = ("event_time", "currency", "payment_status", "is_successful", "amount_major")
+        rows = self._scan(new).select(*names, F.lit(1).alias("sign"))
+        if stale:
+            gone = self._read_files(stale).join(self._keys(new, key_bytes), "event_id", "left_semi")
+            rows = rows.unionAll(gone.select(*names, F.lit(-1).alias("sign")))
+        return self._write_rollup(changes_of(rows))
+
+    def _write_rollup(self, rows: DataFrame) -> str:
+        folder = uuid.uuid4().hex
+        rows.write.parquet(f"{self.root}/rollup/{folder}")
+        return folder
 
     def _commit(self, state: TableState) -> None:
         body = {"version": state.version, "days": state.days, "streams": state.streams}
+        if state.rollup is not None:
+            body["rollup"] = state.rollup
         if not self._files.write_new(self._state_name(state.version), json.dumps(body)):
             raise RuntimeError(f"version {state.version} was committed by another writer")
 

@@ -371,6 +371,11 @@ def sql() -> dict[str, str]:
     table = f"SELECT {TABLE_COLUMNS}, event_day"
     merged = _with(f"SELECT {TABLE_COLUMNS} FROM merged", TYPED, BUS, CHECKED, MERGED)
     merged_table = _with(f"{table} FROM merged", TYPED, BUS, CHECKED, MERGED)
+    live_merged = LIVE.replace("FROM payments", "FROM merged")
+    windows = {
+        width: _with(live_merged.format(width=width), TYPED, BUS, CHECKED, MERGED)
+        for width in ("hour", "day")
+    }
     envelope = _with(f"SELECT {trace} FROM bus", TYPED, BUS)
     record = "SELECT kafka_key, kafka_offset,"
     published = _with(
@@ -495,4 +500,6 @@ def sql() -> dict[str, str]:
         ),
         "stream_hourly": _stored(LIVE.format(width="hour")),
         "stream_daily": _stored(LIVE.format(width="day")),
+        "stream_windows_hourly": windows["hour"],
+        "stream_windows_daily": windows["day"],
     }

@@ -456,6 +456,26 @@ def _live(width: str) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
+def _windows(hours: int) -> Callable[[SparkSession, str], DataFrame]:
+    """Windows kept by the upserts of a stream with delayed events and overwriting repeats."""
+
+    def query(spark, sf_dir):
+        name = _query_name()
+        table = PaymentsTable(spark, new_folder(spark, "payments"))
+        first = bus(spark, sf_dir, FIRST)
+        _two_runs(
+            spark,
+            _delayed(first, False),
+            _delayed(first, True).unionByName(bus(spark, sf_dir, REPEAT)),
+            lambda records, checkpoint: job.start_valid_late_safe(
+                records, table, checkpoint, job.DRAIN, clock(), name=name
+            ),
+        )
+        return reports.windows(table.rollup(), hours)
+
+    return query
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fixture_payments": fixture_payments,
     "publish_records": publish,
@@ -507,6 +527,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_fanout": stream_fanout,
     "stream_hourly": _live("1 hour"),
     "stream_daily": _live("1 day"),
+    "stream_windows_hourly": _windows(1),
+    "stream_windows_daily": _windows(24),
 }
 
 

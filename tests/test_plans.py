@@ -104,7 +104,7 @@ def test_merge_with_a_small_batch_does_not_move_the_table(spark, sf_dir, table):
 
 def test_key_lookup_reads_one_column_and_does_not_move_the_table(table):
     pieces = table.state().pieces()
-    hits = table._hits(table._keys(pieces[:1], 1000), pieces)
+    hits = table._hits(pieces[:1], {"rows": 1_000_000, "key_bytes": 1000}, pieces)
     assert "BroadcastHashJoin" in simple_plan_of(hits)
     assert "hashpartitioning" not in simple_plan_of(hits)
     columns = re.findall(r"ReadSchema: struct<(.*)>", plan_of(hits))
@@ -139,7 +139,7 @@ def test_reports_that_add_up_read_no_payment(table):
         reports.status_breakdown(totals, "gbp"),
         reports.daily_summary(totals),
     ):
-        assert report.inputFiles() and all("/totals/" in path for path in report.inputFiles())
+        assert report.inputFiles() and all("/rollup/" in path for path in report.inputFiles())
 
 
 def test_reports_of_totals_are_those_of_payments(table):
