@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from centstream.operators.reports import (
     DEFAULT_RECENT,
-    hourly_activity,
     of_currency,
     status_totals,
     summary_of_totals,
@@ -39,17 +38,16 @@ def dashboard(
     """The four reports, agreeing with each other because they read one version.
 
     The headline and the status counts are added up from the table's day totals;
-    the other two reports read recent days only. A database table has no versions,
-    so there each report sees the moment it is read.
+    the other two reports read recent days only. A database answers each report itself;
+    its table has no versions, so there each report sees the moment it is read.
     """
     table = table.pinned()
-    payments = table.read()
     totals = status_totals(of_currency(table.totals(), currency)).persist()
     status = totals.select("payment_status", "event_count")
     return Dashboard(
         summary=with_success_rate(summary_of_totals(totals)),
         status=status.orderBy(F.desc("event_count"), "payment_status"),
-        hourly=hourly_activity(payments, currency, as_of),
+        hourly=table.hourly(currency, as_of),
         recent=table.recent(currency, limit),
         totals=totals,
     )

@@ -6,11 +6,17 @@ payments table, so a batch appears whole or not at all.
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from centstream.contract import TABLE_COLUMNS
 from centstream.operators.quality import NOT_NEGATIVE, NOT_NULL
-from centstream.operators.reports import DEFAULT_RECENT, MAX_RECENT, day_totals, recent_payments
+from centstream.operators.reports import (
+    DEFAULT_RECENT,
+    MAX_RECENT,
+    RECENT_COLUMNS,
+    recent_limit,
+)
 from centstream.operators.upsert import one_row_per_key, with_raw_event
 
 JSON_COLUMN = "raw_event"
@@ -26,8 +32,21 @@ COLUMN_TYPES = {
     "received_at": "TIMESTAMPTZ",
     "processed_at": "TIMESTAMPTZ",
 }
-#: Columns that the reports filter by, an index each.
-INDEXED = (("event_time",), ("currency", "event_time"), ("payment_status",))
+#: What the database puts where a writer gives nothing.
+DEFAULTS = {"livemode": "FALSE", "processed_at": "now()"}
+#: Columns that the reports and payment lookups filter by, an index each.
+INDEXED = (
+    ("event_time",),
+    ("currency", "event_time"),
+    ("currency", "payment_status"),
+    ("payment_id",),
+)
+ROLLUP_TYPES = "event_count BIGINT, successful_count BIGINT, successful_amount DECIMAL(38,3)"
+SUMS = (
+    "count(*) AS event_count, "
+    "count(CASE WHEN is_successful THEN 1 END) AS successful_count, "
+    "coalesce(sum(CASE WHEN is_successful THEN amount_major END), 0) AS successful_amount"
+)
 
 
 def table_statements(table: str = "payments", json_type: str = "JSONB") -> list[str]:
@@ -37,6 +56,7 @@ def table_statements(table: str = "payments", json_type: str = "JSONB") -> list[
     for name in TABLE_COLUMNS:
         rules = " PRIMARY KEY" if name == "event_id" else " NOT NULL" if name in NOT_NULL else ""
         rules += f" CHECK ({name} >= 0)" if name in NOT_NEGATIVE else ""
+        rules += f" DEFAULT {DEFAULTS[name]}" if name in DEFAULTS else ""
         columns.append(f"{name} {types.get(name, 'TEXT')}{rules}")
     made = [f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)})"]
     for names in INDEXED:
@@ -74,6 +94,38 @@ def merge_statement(
     )
 
 
+def _text(value: str) -> str:
+    """A string literal."""
+    return "'" + value.replace("'", "''") + "'"
+
+
+def rollup_statement(table: str, unit: str = "hour") -> str:
+    """Sums per UTC hour or day, currency and status; the database groups, so few rows leave it."""
+    when = f"date_trunc('{unit}', event_time AT TIME ZONE 'UTC')"
+    return (
+        f"SELECT {when} AS {unit}_start, currency, payment_status, {SUMS} "
+        f"FROM {table} GROUP BY {when}, currency, payment_status"
+    )
+
+
+def hourly_statement(table: str, currency: str, as_of: datetime | None = None) -> str:
+    """Events and successful amount per hour of the 24 hours before a UTC instant."""
+    when = "date_trunc('hour', event_time AT TIME ZONE 'UTC')"
+    end = "now()" if as_of is None else f"CAST('{as_of.isoformat(' ')}+00:00' AS TIMESTAMPTZ)"
+    return (
+        f"SELECT {when} AS hour, {SUMS} FROM {table} WHERE currency = {_text(currency)} "
+        f"AND event_time >= {end} - INTERVAL '24 hours' GROUP BY {when}"
+    )
+
+
+def recent_statement(table: str, currency: str, limit: int) -> str:
+    """Latest payments of a currency; the index on currency and time ends the search early."""
+    return (
+        f"SELECT {', '.join(RECENT_COLUMNS)}, event_id FROM {table} "
+        f"WHERE currency = {_text(currency)} ORDER BY event_time DESC, event_id LIMIT {limit:d}"
+    )
+
+
 def bounds_statement(table: str) -> str:
     return f"SELECT min(event_time) AS first_at, max(event_time) AS last_at FROM {table}"
 
@@ -124,15 +176,39 @@ class JdbcPayments:
         """The table itself; it has no versions."""
         return self
 
+    def _asked(self, statement: str) -> DataFrame:
+        """Result of a statement that the database runs."""
+        return self.spark.read.format("jdbc").options(**self._login, query=statement).load()
+
+    def _sums(self, rows: DataFrame, *keys: Column) -> DataFrame:
+        sums = (name.split() for name in ROLLUP_TYPES.split(", "))  # no space within a type
+        return rows.select(*keys, *(F.col(name).cast(kind).alias(name) for name, kind in sums))
+
+    def rollup(self) -> DataFrame:
+        """Sums per hour, currency and status, made by the database."""
+        rows = self._asked(rollup_statement(self.table))
+        hour = F.col("hour_start").cast("timestamp").alias("hour")
+        return self._sums(rows, hour, F.col("currency"), F.col("payment_status"))
+
     def totals(self) -> DataFrame:
-        """Day totals, added up from the payments."""
-        return day_totals(self.read())
+        """Day totals, made by the database."""
+        rows = self._asked(rollup_statement(self.table, "day"))
+        day = F.col("day_start").cast("date").alias("event_day")
+        return self._sums(rows, day, F.col("currency"), F.col("payment_status"))
+
+    def hourly(self, currency: str, as_of: datetime | None = None) -> DataFrame:
+        """The hourly activity report, grouped by the database."""
+        rows = self._asked(hourly_statement(self.table, currency, as_of))
+        made = self._sums(rows, F.col("hour").cast("timestamp").alias("hour"))
+        return made.drop("successful_count").orderBy("hour")
 
     def recent(
         self, currency: str, limit: int = DEFAULT_RECENT, ceiling: int = MAX_RECENT
     ) -> DataFrame:
-        """Latest payments of a currency."""
-        return recent_payments(self.read(), currency, limit, ceiling)
+        """Latest payments of a currency, chosen by the database."""
+        wanted = recent_limit(limit, ceiling)
+        rows = self._asked(recent_statement(self.table, currency, wanted))
+        return rows.orderBy(F.desc("event_time"), "event_id").select(*RECENT_COLUMNS)
 
     def create(self) -> None:
         """Make the payments table and its indexes where they are missing."""

@@ -22,6 +22,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from datetime import datetime
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,6 +34,7 @@ from centstream.operators.reports import (
     DEFAULT_RECENT,
     MAX_RECENT,
     changes_of,
+    hourly_activity,
     of_currency,
     recent_limit,
     recent_payments,
@@ -96,12 +98,14 @@ class TableState:
     """One version: per day its parts with their replaced files; per stream its last batch.
 
     ``rollup`` lists the folders that add up to it; None in tables from before there were any.
+    ``stored`` counts the rows that each stream has written so far.
     """
 
     version: int = 0
     days: dict[str, dict[str, list[str]]] = field(default_factory=dict)
     streams: dict[str, int] = field(default_factory=dict)
     rollup: list[str] | None = field(default_factory=list)
+    stored: dict[str, int] = field(default_factory=dict)
 
     def pieces(self, days: Iterable[str] | None = None) -> list[Piece]:
         wanted = self.days if days is None else [day for day in days if day in self.days]
@@ -129,7 +133,7 @@ class TableState:
             days.setdefault(piece.day, {})[piece.part] = []
         kept = {day: parts for day, parts in sorted(days.items()) if parts}
         rollup = None if self.rollup is None else list(self.rollup)
-        return TableState(self.version + 1, kept, dict(self.streams), rollup)
+        return TableState(self.version + 1, kept, dict(self.streams), rollup, dict(self.stored))
 
 
 class PaymentsTable:
@@ -207,6 +211,10 @@ class PaymentsTable:
         rows = self._scan(state.pieces()).where(F.col("event_day") >= oldest.scalar())
         return recent_payments(rows, currency, limit, ceiling)
 
+    def hourly(self, currency: str, as_of: datetime | None = None) -> DataFrame:
+        """The hourly activity report; older days are pruned."""
+        return hourly_activity(self.read(), currency, as_of)
+
     # Writing
 
     def upsert(
@@ -249,11 +257,12 @@ class PaymentsTable:
         seen = watch.get if new else {"rows": 0, "key_bytes": 0}
         after = before.changed(new)
         stale: list[StoredFile] = []
+        copies = 0
         if new and before.days:
             scope = None if key_scope == WHOLE_TABLE else [piece.day for piece in new]
             old = before.pieces(scope)
             if first_wins:
-                new, stale = self._later_than_stored(new, seen, old, first_wins)
+                new, stale, copies = self._later_than_stored(new, seen, old, first_wins)
                 after = before.changed(new)
             else:
                 stale = self._files_holding(new, seen, old)
@@ -264,6 +273,7 @@ class PaymentsTable:
                 after = self._without_empty(before.changed(added, replaced=stale), stale)
         if batch_id is not None:
             after.streams[stream] = batch_id
+        after.stored[stream] = after.stored.get(stream, 0) + seen["rows"] - copies
         if new and after.rollup is not None:
             after.rollup.append(self._write_changes(new, stale, seen["key_bytes"]))
         self._commit(after)
@@ -409,14 +419,14 @@ class PaymentsTable:
 
     def _later_than_stored(
         self, new: list[Piece], seen: dict[str, int], old: list[Piece], within: str
-    ) -> tuple[list[Piece], list[StoredFile]]:
-        """The new part without copies of stored rows, and the files that it replaces rows of.
+    ) -> tuple[list[Piece], list[StoredFile], int]:
+        """The new part without copies of stored rows, files that it replaces rows of, copies.
 
         The stored keys are read once: what they meet, at most one row per key of the
         batch, is written before it is used twice.
         """
         if not old:
-            return new, []
+            return new, [], 0
         keys = self._keys(new, seen["key_bytes"], F.col("event_time").alias("again_at"))
         file = F.col("_metadata.file_name").alias("file")
         stored = self._scan(old).select("event_id", "event_time", "part", "event_day", file)
@@ -430,13 +440,15 @@ class PaymentsTable:
             met.write.parquet(f"{self.root}/{folder}")
         met = self.spark.read.schema(MET_DDL).parquet(f"{self.root}/{folder}")
         copies = met.where("copy").select("event_id")
-        if not copies.isEmpty():
+        dropped = copies.count()
+        if dropped:
             unseen = self._scan(new).join(copies, "event_id", "left_anti")
             first, new = new[0].part, self._write_part(unseen)
             self._files.delete(f"data/part={first}")
         stale = met.where("NOT copy").select("part", "event_day", "file").distinct().collect()
         self._files.delete(folder)
-        return new, [StoredFile(row.part, row.event_day.isoformat(), row.file) for row in stale]
+        stale = [StoredFile(row.part, row.event_day.isoformat(), row.file) for row in stale]
+        return new, stale, dropped
 
     def _write_part(
         self,
@@ -485,6 +497,7 @@ class PaymentsTable:
 
     def _commit(self, state: TableState) -> None:
         body = {"version": state.version, "days": state.days, "streams": state.streams}
+        body["stored"] = state.stored
         if state.rollup is not None:
             body["rollup"] = state.rollup
         if not self._files.write_new(self._state_name(state.version), json.dumps(body)):

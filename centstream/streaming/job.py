@@ -25,6 +25,7 @@ from centstream.settings import JobSettings
 from centstream.sources.bus import kafka_stream, publish_stream
 from centstream.sources.jdbc import JdbcPayments
 from centstream.sources.payments import WHOLE_TABLE, PaymentsTable
+from centstream.streaming.counts import BatchCounts, watched
 
 LOGGER = logging.getLogger(__name__)
 
@@ -57,7 +58,7 @@ def start_valid(
     row is dropped, a later one overwrites. The table is the state. Every
     ``tidy_every`` batches its small parts are joined and unneeded files removed.
     """
-    passed = accepted(check_records(bus, processed_at))
+    passed = accepted(watched(check_records(bus, processed_at)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = payment_columns(dedup_first(batch))
@@ -78,7 +79,7 @@ def start_valid_late_safe(
     name: str = VALID_QUERY,
 ) -> StreamingQuery:
     """Like ``start_valid``, but a copy in a later batch always overwrites the stored row."""
-    passed = accepted(check_records(bus, processed_at))
+    passed = accepted(watched(check_records(bus, processed_at)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = payment_columns(dedup_first(batch))
@@ -103,7 +104,7 @@ def start_rejected(
     name: str = REJECTED_QUERY,
 ) -> StreamingQuery:
     """Append refused records as JSON files, one folder per rejection date."""
-    rejected = rejected_records(check_records(bus, processed_at))
+    rejected = rejected_records(watched(check_records(bus, processed_at)))
     writer = rejected.writeStream.format("json").partitionBy("rejection_date")
     writer = writer.option("path", path).option("timestampFormat", JSON_CLOCK)
     return _start(writer, name, checkpoint, trigger)
@@ -122,7 +123,10 @@ def _start(writer, name: str, checkpoint: str, trigger: Mapping[str, object] | N
 
 
 def progress_counts(query: StreamingQuery) -> dict[str, int]:
-    """Rows read, rows dropped as late and rows of state, over the kept progress."""
+    """Rows read, rows dropped as late and rows of state, over the last hundred batches.
+
+    ``counts.BatchCounts`` keeps those of all batches.
+    """
     counts = {"input_rows": 0, "dropped_as_late": 0, "state_rows": 0}
     for progress in query.recentProgress:
         counts["input_rows"] += progress.numInputRows
@@ -161,6 +165,7 @@ def start_job(
         "key_scope": settings.key_scope,
         "tidy_every": 0 if settings.jdbc_url else settings.tidy_every,
     }
+    spark.streams.addListener(BatchCounts(spark, f"{settings.checkpoint_root}/counts"))
     sink = payments_sink(spark, settings)
     if settings.late_safe:
         valid = start_valid_late_safe(bus, sink, **common)

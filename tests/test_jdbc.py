@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 from centstream.contract import TABLE_COLUMNS
+from centstream.operators import reports
+from centstream.plans.dashboard import dashboard
 from centstream.sources.jdbc import (
     JdbcPayments,
     bounds_statement,
@@ -13,6 +15,7 @@ from centstream.sources.jdbc import (
     range_options,
     table_statements,
 )
+from checks import queries
 
 DDL = (
     "event_id TEXT {key}, payment_id TEXT, event_type TEXT, amount_minor BIGINT, "
@@ -91,20 +94,66 @@ def test_reading_is_dealt_by_ranges_of_event_time(db):
     assert range_options(None, None, 16) == {}
 
 
-def test_dashboard_over_a_database_table(spark, monkeypatch):
-    from centstream.contract import TABLE_DDL
-    from centstream.plans.dashboard import dashboard
-
-    # Instants are taken as UTC, whatever the zone of the machine.
-    rows = spark.createDataFrame([], TABLE_DDL)
-    one = spark.range(1).selectExpr(
-        "'a' AS event_id", "'gbp' AS currency", "'s' AS payment_status", "true AS is_successful",
-        "CAST(1.5 AS DECIMAL(18,3)) AS amount_major", "TIMESTAMP '2024-01-01 10:00:00' AS event_time",
-    )
-    stored = rows.unionByName(one, allowMissingColumns=True)
-    monkeypatch.setattr(JdbcPayments, "read", lambda self: stored)
-    shown = dashboard(JdbcPayments(spark, "jdbc:none", "user", "word"), "gbp", NOW.replace(hour=11))
-    assert shown.summary.first().total_events == 1
-    assert [tuple(r) for r in shown.status.collect()] == [("s", 1)]
-    assert (shown.hourly.count(), shown.recent.count()) == (1, 1)
+def test_unset_fields_take_the_database_defaults():
+    with duckdb.connect() as connection:
+        for statement in table_statements("payments", "JSON"):
+            connection.execute(statement)
+        names = [n for n in TABLE_COLUMNS if n not in ("livemode", "processed_at")]
+        values = [v for n, v in zip(TABLE_COLUMNS, row("a", "x"), strict=True) if n in names]
+        marks = ", ".join("?" * len(names))
+        connection.execute(f"INSERT INTO payments ({', '.join(names)}) VALUES ({marks})", values)
+        livemode, at = connection.execute("SELECT livemode, processed_at FROM payments").fetchone()
+        assert livemode is False and at is not None
+
+
+@pytest.fixture
+def database(spark, sf_dir, monkeypatch):
+    """The payments of the small tables in DuckDB, which runs the statements of ``JdbcPayments``."""
+    payments = queries.payments(spark, sf_dir).select(*TABLE_COLUMNS)
+    with duckdb.connect() as connection:
+        connection.execute("SET TimeZone = 'America/New_York'")
+        for statement in table_statements("payments", "JSON"):
+            connection.execute(statement)
+        arrow = payments.toArrow()  # noqa: F841 - read by name below
+        connection.execute(f"INSERT INTO payments SELECT {', '.join(TABLE_COLUMNS)} FROM arrow")
+        asked = []
+
+        def run(self, statement):
+            asked.append(statement)
+            return spark.createDataFrame(connection.execute(statement).to_arrow_table())
+
+        monkeypatch.setattr(JdbcPayments, "_asked", run)
+        yield JdbcPayments(spark, "jdbc:none", "user", "word"), asked
+
+
+def test_reports_are_answered_by_the_database(spark, sf_dir, database):
+    table, asked = database
+    stored = queries.stored(spark, sf_dir)
+    payments = stored.read()
+    for make in (
+        reports.currencies,
+        lambda rows: reports.summary(rows, "gbp"),
+        reports.summary_by_currency,
+        lambda rows: reports.status_breakdown(rows, "gbp"),
+        reports.daily_summary,
+    ):
+        assert sorted(make(table.totals()).collect()) == sorted(make(payments).collect())
+    windows = reports.windows(table.rollup(), 2).collect()
+    assert sorted(windows) == sorted(reports.windows(stored.rollup(), 2).collect())
+    got = table.hourly("gbp", queries.AS_OF).collect()
+    assert got and got == reports.hourly_activity(payments, "gbp", queries.AS_OF).collect()
+    for limit in (1, 25):
+        got = table.recent("gbp", limit).collect()
+        assert got == reports.recent_payments(payments, "gbp", limit).collect()
+    assert table.recent("o'brien").collect() == []
+    # Every statement groups or stops early.
+    assert all("GROUP BY" in text or "LIMIT" in text for text in asked)
+
+
+def test_dashboard_over_a_database_table(spark, sf_dir, database):
+    shown = dashboard(database[0], "gbp", queries.AS_OF)
+    same = dashboard(queries.stored(spark, sf_dir), "gbp", queries.AS_OF)
+    for name in ("summary", "status", "hourly", "recent"):
+        assert getattr(shown, name).collect() == getattr(same, name).collect()
     shown.release()
+    same.release()
