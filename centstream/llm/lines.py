@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from centstream.llm import words as W
-from centstream.llm.store import packed, stored
+from centstream.llm.store import forget, packed, stored
 
 SHINGLE = 5
 SIMILARITY = (4, 5)
@@ -241,8 +241,11 @@ def marked(docs: DataFrame) -> DataFrame:
     postings = classes.select("cls", F.posexplode("prefix").alias("place", "token"))
     often = postings.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
     often = stored(often, "shared-tokens")
-    shared = postings.join(often, "token").join(classes.select("cls", "born", "size"), "cls")
+    # Tokens and classes come once on the right, so these are hashed and postings not sorted.
+    of_class = classes.select("cls", "born", "size").hint("shuffle_hash")
+    shared = postings.join(often.hint("shuffle_hash"), "token").join(of_class, "cls")
     shared = stored(shared, "shared-postings")
+    forget(often)
 
     few = shared.filter(F.col("n") <= PAIRED)
     a, b = few.alias("a"), few.alias("b")
@@ -257,14 +260,17 @@ def marked(docs: DataFrame) -> DataFrame:
     one = tokens.select(F.col("cls").alias("one"), F.struct("tokens").alias("a"))
     two = tokens.select(F.col("cls").alias("two"), F.struct("tokens").alias("b"))
     gone = pairs.join(one, "one").join(two, "two").filter(_similar("a", "b")).select("two")
+    used = [classes, shared, pairs, tokens]
     if not many.isEmpty():
         full = stored(many.join(tokens, "cls"), "crowded")
+        used.append(full)
         a, b = full.alias("a"), full.alias("b")
         verified = F.when(_possible("a", "b"), _similar("a", "b")).otherwise(F.lit(False))
         met = b.join(a, (F.col("a.token") == F.col("b.token")) & verified, "left_semi")
         gone = gone.unionAll(met.select(F.col("cls").alias("two")))
     gone = gone.distinct().select(F.col("two").alias("cls"), F.lit(True).alias("late"))
     fate = stored(classes.select("cls", "born").join(gone, "cls", "left"), "line-fates")
+    forget(*used)
     fate = fate.select(F.col("cls").alias("of"), "born", F.coalesce("late", F.lit(False)).alias("late"))
     joined = lines.join(fate, lines.cls == fate.of, "left")
     later = ~F.col("born").eqNullSafe(born) | F.col("late")

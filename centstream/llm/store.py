@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from centstream.session import new_folder
+from centstream.sources.files import Folder
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -16,6 +17,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing will read again."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            Folder(table.sparkSession, files[0].rpartition("/")[0]).delete("")
+
+
 def packed(names: Iterable[str]) -> Column:
     """Columns of any name as the one column ``kept``, so that none clashes with others."""
     quoted = (name.replace("`", "``") for name in names)
