@@ -24,12 +24,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from centstream.llm import boosting
 from centstream.llm import words as W
-from centstream.llm.store import through
+from centstream.llm.store import forget, stored, through
 
 #: Examples that train the trees, the same share for each kind.
 SAMPLE_SPANS = 20_000
@@ -258,24 +258,40 @@ def train(docs: DataFrame, sample_spans: int = SAMPLE_SPANS) -> Model:
     h = F.xxhash64(F.lit("sample"), F.col("doc_id").cast("long"), "text").alias("h")
     rows = docs.select(h, "text")
 
+    most = sample_spans // len(KINDS)
+
     def look(batches):
+        first = [[] for _ in KINDS]
+
+        def keep(own):
+            own.sort()
+            del own[most:]
+
         for batch in batches:
-            out = [
-                (kind, k, h, y, x)
-                for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                for kind, k, y, x in examples(text or "", h)
-                if k < sample_spans
-            ]
-            columns = zip(*out, strict=True) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, EXAMPLE.values(), strict=True)], list(EXAMPLE)
-            )
-
-    # Every document's first example of a kind comes before any second one.
-    place = F.row_number().over(Window.partitionBy("kind").orderBy("k", "h", "y", "x"))
-    found = rows.mapInArrow(look, "kind long, k long, h long, y long, x array<double>")
-    found = found.withColumn("place", place).filter(F.col("place") <= sample_spans // len(KINDS))
-    got = sorted(tuple(r) for r in found.drop("place").collect())
+            for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for kind, k, y, x in examples(text or "", h):
+                    if k < sample_spans:
+                        first[kind].append((k, h, y, x))
+            for own in first:
+                if len(own) > 2 * most:
+                    keep(own)
+        for own in first:
+            keep(own)
+        out = [(kind, *example) for kind, own in enumerate(first) for example in own]
+        columns = zip(*out, strict=True) if out else [[]] * 5
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, EXAMPLE.values(), strict=True)], list(EXAMPLE)
+        )
+
+    # Every document's first example of a kind comes before any second one. A task sends
+    # its first ones only, and the first of all are merged as sorted runs, kind by kind.
+    found = stored(rows.mapInArrow(look, "kind long, k long, h long, y long, x array<double>"), "examples")
+    got = sorted(
+        tuple(r)
+        for kind in range(len(KINDS))
+        for r in found.filter(F.col("kind") == kind).orderBy("k", "h", "y", "x").limit(most).collect()
+    )
+    forget(found)
     if not got or len({r[3] for r in got}) < 2:
         return Model(None, (2.0,) * len(KINDS))
     x, y = np.array([r[4] for r in got]), np.array([r[3] for r in got], float)
