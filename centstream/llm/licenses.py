@@ -4,14 +4,20 @@ One automaton, built once per task, holds the notice phrases and the tag
 ``spdx license identifier``. It runs over each whole text, brought to lower-case words
 with one space between, so that a match can only stand on whole words. Behind a tag the
 original text is read as a licence expression with ``AND``, ``OR``, ``WITH`` and
-parentheses, turned into postfix order by precedence and evaluated: the labels are the
-licences it names, an exception staying with its licence.
+parentheses, turned into postfix order by precedence and evaluated in one pass: each
+operand must be a known identifier or a ``LicenseRef-``, ``WITH`` binds an exception to one
+licence, ``AND`` adds obligations up, ``OR`` keeps the fewer and adds alternatives up.
 
 Base labels come from the contract's three phrases. Further phrases and tags add labels;
-they never remove one. Score: how sure the labels are, the surest evidence counting: a
-well-formed tag 1, a long notice 0.9, a base phrase 0.8, a bad tag 0.3, nothing 0.
+they never remove one. ``obligations`` is the number of licences that all tags of a text ask
+for at least, ``alternatives`` the largest number of ways that one tag leaves open. Score:
+how sure the labels are, the surest evidence counting: a tag without choice 1, one with a
+choice 0.95, a long notice 0.9, a base phrase 0.8, a tag that is malformed or names what is
+no licence 0.3, nothing 0.
 
-Null is read as the empty text, which has no words, no labels and score 0.
+Null is read as the empty text, which has no words, no labels and score 0. Time is linear in
+a text, however long it or its tags are. Repeated rows are scanned each on its own, other
+columns are ignored. No rows: an empty result.
 """
 
 import re
@@ -49,10 +55,30 @@ NOTICES = {
     "all rights reserved": "proprietary",
 }
 TAG = "spdx license identifier"
+#: Identifiers of licences and of exceptions, in lower case.
+IDENTIFIERS = frozenset(
+    "0bsd afl-3.0 agpl-3.0 agpl-3.0-only agpl-3.0-or-later apache-1.1 apache-2.0 apsl-2.0 "
+    "artistic-1.0 artistic-2.0 blueoak-1.0.0 bsd-1-clause bsd-2-clause bsd-2-clause-patent "
+    "bsd-3-clause bsd-3-clause-clear bsd-4-clause bsl-1.0 cc-by-3.0 cc-by-4.0 cc-by-nc-4.0 "
+    "cc-by-nc-nd-4.0 cc-by-nc-sa-4.0 cc-by-nd-4.0 cc-by-sa-3.0 cc-by-sa-4.0 cc0-1.0 cddl-1.0 "
+    "cddl-1.1 cecill-2.1 cpl-1.0 ecl-2.0 epl-1.0 epl-2.0 eupl-1.1 eupl-1.2 gfdl-1.3-only "
+    "gfdl-1.3-or-later gpl-1.0-only gpl-1.0-or-later gpl-2.0 gpl-2.0-only gpl-2.0-or-later gpl-3.0 "
+    "gpl-3.0-only gpl-3.0-or-later hpnd isc lgpl-2.0-only lgpl-2.0-or-later lgpl-2.1 lgpl-2.1-only "
+    "lgpl-2.1-or-later lgpl-3.0 lgpl-3.0-only lgpl-3.0-or-later lppl-1.3c mit mit-0 mpl-1.1 mpl-2.0 "
+    "mpl-2.0-no-copyleft-exception ms-pl ms-rl mulanpsl-2.0 ncsa odbl-1.0 ofl-1.1 openssl osl-3.0 "
+    "php-3.01 postgresql psf-2.0 python-2.0 qpl-1.0 ruby sleepycat unicode-3.0 unlicense upl-1.0 "
+    "vim w3c wtfpl x11 zlib zpl-2.1".split()
+)
+EXCEPTIONS = frozenset(
+    "autoconf-exception-3.0 bison-exception-2.2 classpath-exception-2.0 font-exception-2.0 "
+    "gcc-exception-2.0 gcc-exception-3.1 libtool-exception linux-syscall-note llvm-exception "
+    "openjdk-assembly-exception-1.0 qt-gpl-exception-1.0 universal-foss-exception-1.0".split()
+)
+OWN = "licenseref-"
 
 RESULT = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, "
-    "base_labels string, labels string, score double"
+    "base_labels string, labels string, score double, obligations long, alternatives double"
 )
 NAMES = [column.split()[0] for column in RESULT.split(", ")]
 
@@ -65,10 +91,11 @@ PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 @dataclass(frozen=True)
 class Licensing:
-    """Names of an expression and the sets of them that satisfy it."""
+    """What an expression names, the licences it asks for at least, and its alternatives."""
 
-    names: frozenset
-    choices: frozenset
+    names: frozenset[str]
+    least: int
+    ways: float
 
 
 def _tokens(text: str, at: int) -> list[str]:
@@ -127,31 +154,42 @@ def postfix(tokens: list[str]) -> list[str] | None:
     return output + waiting[::-1]
 
 
-#: Alternatives of one expression that are told apart; more are merged into one.
-MOST_CHOICES = 64
+def _known(name: str) -> bool:
+    return name in IDENTIFIERS or name.removesuffix("+") in IDENTIFIERS or name.startswith(OWN)
 
 
-def evaluate(order: list[str]) -> Licensing:
-    """Names of a postfix expression, and each way to satisfy it."""
-    stack: list[Licensing] = []
-    for token in order:
-        if token not in PRECEDENCE:
-            own = frozenset([token.lower()])
-            stack.append(Licensing(own, frozenset([own])))
-            continue
-        right, left = stack.pop(), stack.pop()
-        if token == "or":
-            names, choices = left.names | right.names, left.choices | right.choices
-        elif token == "and":
-            names = left.names | right.names
-            choices = frozenset(a | b for a in left.choices for b in right.choices)
+def evaluate(order: list[str]) -> Licensing | None:
+    """A postfix expression; None if an operand is no licence or ``WITH`` joins others."""
+    names: set[str] = set()
+    # A licence that stands alone keeps its name until it is joined; then that is noted.
+    stack: list[tuple[int, float, str | None]] = []
+
+    def joined() -> tuple[int, float]:
+        least, ways, alone = stack.pop()
+        if alone:
+            names.add(alone)
+        return least, ways
+
+    for place, token in enumerate(order):
+        name = token.lower()
+        if name not in PRECEDENCE:
+            exception = place + 1 < len(order) and order[place + 1].lower() == "with"
+            if not (name in EXCEPTIONS if exception else _known(name)):
+                return None
+            stack.append((1, 1.0, name))
+        elif name == "with":
+            (*_, right), (*_, left) = stack.pop(), stack.pop()
+            if not left or "-with-" in left or not right:
+                return None
+            stack.append((1, 1.0, f"{left}-with-{right}"))
         else:
-            joined = {f"{a}-with-{b}" for a in left.names for b in right.names}
-            names, choices = frozenset(joined), frozenset([frozenset(joined)])
-        if len(choices) > MOST_CHOICES:
-            choices = frozenset([names])
-        stack.append(Licensing(names, choices))
-    return stack[0]
+            (least, ways), (first, first_ways) = joined(), joined()
+            if name == "and":
+                stack.append((first + least, first_ways * ways, None))
+            else:
+                stack.append((min(first, least), first_ways + ways, None))
+    least, ways = joined()
+    return Licensing(frozenset(names), least, ways)
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -170,6 +208,7 @@ def scan_text(text: str, found: ahocorasick.Automaton) -> tuple:
     parts = text.encode("utf-8", "surrogatepass").translate(_SPACED).split()
     joined = (b" " + b" ".join(parts) + b" ").decode("utf-8", "surrogatepass")
     starts, base, labels, score, tagged, word, counted = [], set(), set(), 0.0, False, 0, 0
+    obligations, alternatives = 0, 0.0
     for begin, phrase in sorted((end - len(p) - 1, p) for end, p in found.iter(joined)):
         word += joined.count(" ", counted, begin)
         counted = begin
@@ -184,8 +223,14 @@ def scan_text(text: str, found: ahocorasick.Automaton) -> tuple:
     if tagged:
         for tag in _TAG.finditer(text):
             order = postfix(_tokens(text, tag.end()))
-            score = max(score, 1.0 if order else 0.3)
-            labels |= evaluate(order).names if order else set()
+            found_out = evaluate(order) if order else None
+            if found_out is None:
+                score = max(score, 0.3)
+                continue
+            score = max(score, 1.0 if found_out.ways == 1 else 0.95)
+            labels |= found_out.names
+            obligations += found_out.least
+            alternatives = max(alternatives, found_out.ways)
     return (
         len(parts),
         len(starts),
@@ -194,6 +239,8 @@ def scan_text(text: str, found: ahocorasick.Automaton) -> tuple:
         ",".join(sorted(base)),
         ",".join(sorted(base | labels)),
         score,
+        obligations,
+        alternatives,
     )
 
 
@@ -202,7 +249,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     def search(batches):
         found = automaton()
-        types = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.float64()]
+        types = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.float64(), pa.int64(), pa.float64()]
         for batch in batches:
             for part in W.pieces(batch, 1):
                 rows = [scan_text(text or "", found) for text in part.column(1).to_pylist()]

@@ -368,10 +368,10 @@ def test_licenses(spark):
     table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r.doc_id: r for r in licenses.scan(table).collect()}
     assert tuple(got[1])[1:7] == (5, 1, 3, 3, "mit", "mit")
-    assert tuple(got[2])[1:] == (0, 0, None, None, "", "", 0.0)
+    assert tuple(got[2])[1:] == (0, 0, None, None, "", "", 0.0, 0, 0.0)
     assert tuple(got[3])[1:6] == (6, 3, 0, 4, "apache,mit")
     assert got[4].labels == "apache-2.0,gpl-2.0-with-classpath-exception-2.0,mit"
-    assert got[4].base_labels == "" and got[4].score == 1.0
+    assert got[4].base_labels == "" and tuple(got[4])[7:] == (0.95, 2, 2.0)  # a choice is left
     assert got[5].labels == "" and got[6].n_base == 0
 
 
@@ -379,5 +379,5 @@ def test_shunting_yard():
     assert licenses.postfix("A OR B AND C WITH D".split()) == ["A", "B", "C", "D", "with", "and", "or"]
     for bad in ("A B", "AND A", "( A", "A )", "A OR"):
         assert licenses.postfix(bad.split()) is None
-    choices = licenses.evaluate(licenses.postfix("( A OR B ) AND C".replace("(", "( ").split())).choices
-    assert choices == {frozenset("ac"), frozenset("bc")}
+    both = licenses.evaluate(licenses.postfix("( MIT OR ISC ) AND Zlib".split()))
+    assert (both.names, both.least, both.ways) == ({"mit", "isc", "zlib"}, 2, 2)
