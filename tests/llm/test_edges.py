@@ -33,7 +33,7 @@ TEXTS = (
 )
 
 
-def written(folder, documents, embeddings, pages, benchmark, labels):
+def written(folder, documents, embeddings, pages, benchmark, labels, conversations):
     extra = {name: pa.array([7] * len(documents), pa.int32()) for name in CLASHING}
     ids, texts, sources = zip(*documents, strict=True) if documents else ((), (), ())
     tables = {
@@ -69,6 +69,15 @@ def written(folder, documents, embeddings, pages, benchmark, labels):
             "text": pa.nulls(len(labels), pa.string()),
             "id": pa.nulls(len(labels), pa.int32()),
         },
+        "conversations": {
+            "conv_id": pa.array([c for c, *_ in conversations], pa.int64()),
+            "turn": pa.array([t for _, t, *_ in conversations], pa.int64()),
+            "role": pa.array([r for *_, r, _ in conversations], pa.string()),
+            "text": pa.array([x for *_, x in conversations], pa.string()),
+            "depth": pa.nulls(len(conversations), pa.int32()),
+            "part": pa.nulls(len(conversations), pa.int32()),
+            "one": pa.nulls(len(conversations), pa.int32()),
+        },
     }
     for name, columns in tables.items():
         pq.write_table(pa.table(columns), folder / f"{name}.parquet")
@@ -87,12 +96,16 @@ def odd(folder):
     pages = [(0, None), (1, ""), (2, "no scheme"), (3, "http://"), (None, "http://a.net/x"), (3, "http://")]
     benchmark = [(0, None), (1, ""), (2, TEXTS[5]), (2, TEXTS[5]), (None, "one two")]
     labels = [(i, i % 2) for i in range(12)] + [(7, 1), (None, 1), (3, None), (99, 1), (4, 5)]
-    return written(folder, documents, vectors, pages, benchmark, labels)
+    conversations = [
+        (0, 0, "user", "hi"), (0, 1, None, None), (0, None, "a", "x"), (1, 0, "user", "hi"),
+        (1, 0, "user", "hi"), (None, 0, "user", "hi"), (7, 3, "", "long " * 50_000), (-3, 0, None, ""),
+    ]
+    return written(folder, documents, vectors, pages, benchmark, labels, conversations)
 
 
 @pytest.mark.parametrize("rows", ["odd", "none"])
 def test_queries_and_stages_hold_up(spark, tmp_path, rows):
-    sf_dir = odd(tmp_path) if rows == "odd" else written(tmp_path, [], [], [], [], [])
+    sf_dir = odd(tmp_path) if rows == "odd" else written(tmp_path, [], [], [], [], [], [])
     counts = {
         name: spark.read.parquet(f"{sf_dir}/{name}.parquet").count()
         for name in ("documents", "embeddings", "pages")
@@ -100,7 +113,9 @@ def test_queries_and_stages_hold_up(spark, tmp_path, rows):
     for name, query in queries.queries().items():
         got = query(spark, sf_dir).collect()
         table = {"op3": "pages", "op5": "embeddings"}.get(name.partition("_")[0], "documents")
-        if name.startswith("op9"):  # rows equal in id and text are one document
+        if name.startswith(("op11", "op12")):  # a row per node or word
+            assert bool(got) == bool(counts["documents"]), name
+        elif name.startswith("op9"):  # rows equal in id and text are one document
             assert len(got) == len({(r.doc_id, r.text) for r in documents(spark, sf_dir).collect()})
         else:
             assert len(got) == counts[table], name
