@@ -21,6 +21,7 @@ one document and give one result row. Other columns are ignored or kept.
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,8 @@ SIMILARITY = (4, 5)
 RANGES = 1 << 16
 #: Classes of one token that are still joined before they are verified.
 PAIRED = 64
+#: Bytes of a word that is still hashed together with others.
+LONG_WORD = 64
 #: Bits of the candidates' bitmap, and of one of its pieces.
 BITMAP, PIECE = 1 << 24, 1 << 15
 
@@ -53,7 +56,7 @@ class Lines:
         self.number = np.arange(len(begins)) - np.searchsorted(begins, found.text_starts)[self.text]
         self.begins = begins
         line = np.searchsorted(begins, found.starts, "right") - 1
-        hashed = W.hashes(found.data, found.starts, found.ends)
+        hashed = word_hashes(found.data, found.starts, found.ends)
         counts = np.bincount(line, minlength=len(begins))
         self._shingle(counts, np.cumsum(counts) - counts, hashed)
 
@@ -61,11 +64,19 @@ class Lines:
         """Tokens from the words' hashes, and the number and first of each line's words."""
         shingles = np.where(counts == 0, 0, np.maximum(counts - SHINGLE + 1, 1))
         of = np.repeat(np.arange(len(counts)), shingles)
-        word = np.arange(len(of)) - (np.cumsum(shingles) - shingles)[of] + first[of]
-        token = np.zeros(len(of), np.uint64)
+        word = np.arange(len(of)) - (np.cumsum(shingles) - shingles - first)[of]
         padded = np.append(hashed, np.zeros(SHINGLE, np.uint64))
+        run = padded[: len(hashed)].copy()
+        for k in range(1, SHINGLE):
+            run *= W.BASE
+            run += padded[k : len(hashed) + k]
+        token = run[word]
+        short = np.flatnonzero(counts[of] < SHINGLE)
+        own = np.zeros(len(short), np.uint64)
         for k in range(SHINGLE):
-            token = token * W.BASE + np.where(k < counts[of], padded[word + k], np.uint64(0))
+            there = k < counts[of[short]]
+            own = own * W.BASE + np.where(there, padded[word[short] + k], np.uint64(0))
+        token[short] = own
         token ^= token >> np.uint64(31)
         self.of, self.token = of, token * W.INVERSE
 
@@ -96,6 +107,25 @@ class Lines:
         return _list(self.token[take], p)
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word, eight bytes at a step; very long words one by one."""
+    lengths = ends - starts
+    out = lengths.astype(np.uint64) * W.INVERSE
+    padded = np.append(data, np.zeros(8, np.uint8))
+    eight = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
+    left = np.flatnonzero(lengths <= LONG_WORD)
+    for at in range(0, LONG_WORD, 8):
+        left = left[lengths[left] > at]
+        if not len(left):
+            break
+        unused = np.uint64(8) * np.maximum(at + 8 - lengths[left], 0).astype(np.uint64)
+        mixed = (out[left] ^ (eight[starts[left] + at] << unused)) * W.BASE
+        out[left] = mixed ^ (mixed >> np.uint64(32))
+    for row in np.flatnonzero(lengths > LONG_WORD):
+        out[row] = xxhash.xxh64_intdigest(data[starts[row] : ends[row]].tobytes())
+    return out * W.INVERSE
+
+
 def by_line(of: np.ndarray, token: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray]:
     """Both, in the order of line and then token.
 
@@ -171,11 +201,11 @@ def _lines(docs: DataFrame, ranks) -> DataFrame:
     return _texts(docs).mapInArrow(cut, LINE)
 
 
-def _tokens_of(docs: DataFrame, classes: DataFrame, ranks, kind: type = Lines) -> DataFrame:
-    """(cls, tokens) of the wanted classes; a bitmap keeps most other lines back."""
-    bit = F.pmod("cls", F.lit(BITMAP))
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """``BITMAP`` bits, set where a value of the only column ``at`` falls."""
+    bit = F.pmod("at", F.lit(BITMAP))
     pieces = (
-        classes.select((bit / PIECE).cast("int").alias("piece"), F.pmod(bit, F.lit(PIECE)).alias("bit"))
+        hashes.select((bit / PIECE).cast("int").alias("piece"), F.pmod(bit, F.lit(PIECE)).alias("bit"))
         .groupBy("piece")
         .agg(F.expr("bitmap_construct_agg(bit)").alias("bits"))
         .collect()  # BITMAP / PIECE rows at most
@@ -184,16 +214,31 @@ def _tokens_of(docs: DataFrame, classes: DataFrame, ranks, kind: type = Lines) -
     for piece, bits in pieces:
         own = np.frombuffer(bytes(bits), np.uint8)
         bitmap[piece * PIECE // 8 : piece * PIECE // 8 + len(own)] = own
-    wanted = docs.sparkSession.sparkContext.broadcast(bitmap)
+    return bitmap
+
+
+def _there(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes % BITMAP
+    return (bitmap[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1
+
+
+def _tokens_of(docs: DataFrame, classes: DataFrame, ranks, kind: type = Lines) -> DataFrame:
+    """(cls, tokens) of the wanted classes (cls, text_hash), cut from the texts they began in.
+
+    One bitmap keeps most other texts from being cut, another most other lines back.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast
+    of_text = sent(_bitmap(classes.select(F.col("text_hash").alias("at"))))
+    of_line = sent(_bitmap(classes.select(F.col("cls").alias("at"))))
 
     def pick(batches):
         for batch in batches:
-            for part in W.pieces(batch, 0):
-                found = kind(part.column(0))
+            hashes = batch.column(0).to_numpy()
+            batch = batch.take(pa.array(np.flatnonzero(_there(of_text.value, hashes))))
+            for part in W.pieces(batch, 1):
+                found = kind(part.column(1))
                 found.ordered(ranks.value)
-                at = found.cls % BITMAP
-                there = (wanted.value[at // 8] >> (at % 8).astype(np.uint8)) & 1
-                rows = np.flatnonzero((there == 1) & (found.sizes > 0))
+                rows = np.flatnonzero(_there(of_line.value, found.cls) & (found.sizes > 0))
                 _, one = np.unique(found.cls[rows], return_index=True)
                 rows, n = rows[one], found.sizes[rows[one]]
                 take = np.repeat(found.first[rows], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -201,7 +246,8 @@ def _tokens_of(docs: DataFrame, classes: DataFrame, ranks, kind: type = Lines) -
                     [pa.array(found.cls[rows]), _list(found.token[take], n)], ["cls", "tokens"]
                 )
 
-    found = docs.select("text").mapInArrow(pick, "cls long, tokens array<long>")
+    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").filter("text IS NOT NULL")
+    found = texts.mapInArrow(pick, "cls long, tokens array<long>")
     return found.join(classes, "cls", "left_semi").groupBy("cls").agg(F.first("tokens").alias("tokens"))
 
 
@@ -255,12 +301,14 @@ def marked(docs: DataFrame) -> DataFrame:
     )
     many = shared.filter(F.col("n") > PAIRED)
     wanted = pairs.select(F.col("one").alias("cls")).unionAll(pairs.select("two")).unionAll(many.select("cls"))
-    tokens = stored(_tokens_of(docs, wanted.distinct(), ranks), "line-tokens")
+    wanted = classes.select("cls", "born.text_hash").join(wanted.distinct(), "cls")
+    wanted = stored(wanted, "wanted-lines")
+    tokens = stored(_tokens_of(docs, wanted, ranks), "line-tokens")
 
     one = tokens.select(F.col("cls").alias("one"), F.struct("tokens").alias("a"))
     two = tokens.select(F.col("cls").alias("two"), F.struct("tokens").alias("b"))
     gone = pairs.join(one, "one").join(two, "two").filter(_similar("a", "b")).select("two")
-    used = [classes, shared, pairs, tokens]
+    used = [classes, shared, pairs, wanted, tokens]
     if not many.isEmpty():
         full = stored(many.join(tokens, "cls"), "crowded")
         used.append(full)
