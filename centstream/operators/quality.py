@@ -19,6 +19,7 @@ NOT_NULL = (
     "raw_event",
 )
 NOT_NEGATIVE = ("amount_minor", "amount_major")
+PRIMARY_KEY = "event_id PRIMARY KEY"
 
 
 def _row_constraints() -> dict[str, Column]:
@@ -31,20 +32,21 @@ def _row_constraints() -> dict[str, Column]:
 def table_contract(payments: DataFrame) -> DataFrame:
     """Violations per table constraint: one row each, zero when it holds.
 
-    Row constraints are counted in one pass without moving rows. Only the key
-    column is shuffled for the primary key, after counting in the map tasks.
+    The payments are read once: the map tasks count copies and broken rules per key,
+    and only keys with their counts are shuffled, however many rows a key has.
     A null key and each key that occurs more than once is a violation.
     """
     rules = _row_constraints()
-    counted = payments.agg(*(F.count_if(test).alias(name) for name, test in rules.items()))
-    by_row = counted.unpivot([], list(rules), "constraint_name", "violations")
-    by_key = (
-        payments.groupBy("event_id")
-        .agg(F.count("*").alias("copies"))
-        .agg(F.count_if((F.col("copies") > 1) | F.col("event_id").isNull()).alias("violations"))
-        .select(F.lit("event_id PRIMARY KEY").alias("constraint_name"), "violations")
+    by_key = payments.groupBy("event_id").agg(
+        F.count("*").alias("copies"),
+        *(F.count_if(test).alias(name) for name, test in rules.items()),
     )
-    return by_key.unionByName(by_row)
+    repeated = (F.col("copies") > 1) | F.col("event_id").isNull()
+    counted = by_key.agg(
+        F.count_if(repeated).alias(PRIMARY_KEY),
+        *(F.coalesce(F.sum(f"`{name}`"), F.lit(0)).alias(name) for name in rules),
+    )
+    return counted.unpivot([], [PRIMARY_KEY, *rules], "constraint_name", "violations")
 
 
 def quality_metrics(enriched: DataFrame) -> DataFrame:

@@ -156,3 +156,11 @@ def test_reports_of_totals_are_those_of_payments(table):
         want, got = make(rows), make(totals)
         assert got.schema.simpleString() == want.schema.simpleString()
         assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_table_contract_reads_its_input_once(spark, sf_dir):
+    from checks.queries import table_contract
+
+    plan = simple_plan_of(table_contract(spark, sf_dir))
+    assert plan.count("FileScan") == 1
+    assert plan.count("from_json") == 1
