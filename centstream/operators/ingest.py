@@ -22,6 +22,14 @@ INVALID_JSON = "invalid_json"
 IGNORED = "ignored"
 CONTRACT_VIOLATION = "contract_violation"
 PUBLISHED = "published"
+OUTCOMES = (
+    MISSING_SIGNATURE,
+    INVALID_SIGNATURE,
+    INVALID_JSON,
+    IGNORED,
+    CONTRACT_VIOLATION,
+    PUBLISHED,
+)
 
 # The part of the provider's document that is read. Fields that are typed later
 # stay VARIANT, so that a value of a wrong type is not taken for an absent one.

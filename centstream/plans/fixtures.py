@@ -72,7 +72,7 @@ def payment_events(events: DataFrame) -> DataFrame:
         F.when(n % 9 != 0, F.concat(F.lit("item "), text)).alias("description"),
         F.when(F.col("user_id") % 5 != 0, F.concat(F.lit("cus_"), user)).alias("customer_id"),
         unless({14: None}, n % 2 == 0).alias("livemode"),
-        unless({8: None, 9: -1}, F.unix_seconds(ts)).alias("provider_created_at"),
+        unless({8: None, 9: -1, 17: 300_000_000_000}, F.unix_seconds(ts)).alias("provider_created_at"),
         unless({10: None, 11: "not-a-time"}, iso_utc(ts)).alias("received_at"),
         F.lit(PROVIDER).alias("source"),
     )

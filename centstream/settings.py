@@ -25,6 +25,7 @@ class JobSettings:
     key_scope: str = WHOLE_TABLE
     tidy_every: int = 100
     late_safe: bool = False
+    fail_on_data_loss: bool = False
     jdbc_url: str | None = None
     jdbc_user: str | None = None
     jdbc_password: str | None = field(default=None, repr=False)
@@ -40,6 +41,9 @@ class JobSettings:
         def number(name: str) -> int | None:
             return int(env[name]) if env.get(name) else None
 
+        def switch(name: str) -> bool:
+            return env.get(name, "false").lower() == "true"
+
         return cls(
             kafka_servers=env["KAFKA_BOOTSTRAP_SERVERS"],
             topic=env.get("KAFKA_TOPIC", "payment_events"),
@@ -53,7 +57,8 @@ class JobSettings:
             shuffle_partitions=number("SHUFFLE_PARTITIONS"),
             key_scope=env.get("KEY_SCOPE", WHOLE_TABLE),
             tidy_every=int(env.get("TIDY_EVERY", "100")),
-            late_safe=env.get("LATE_SAFE", "false").lower() == "true",
+            late_safe=switch("LATE_SAFE"),
+            fail_on_data_loss=switch("FAIL_ON_DATA_LOSS"),
             jdbc_url=env.get("JDBC_URL"),
             jdbc_user=env.get("JDBC_USER"),
             jdbc_password=env.get("JDBC_PASSWORD"),

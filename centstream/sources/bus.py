@@ -22,9 +22,12 @@ def kafka_options(
     topic: str,
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
+    fail_on_data_loss: bool = False,
 ) -> dict[str, str]:
-    """Reader options: from the earliest record, and never failing on expired ones.
+    """Reader options: from the earliest record.
 
+    Unless ``fail_on_data_loss`` is set, records that expired before they were read are
+    passed over; ``offsets.offset_gaps`` over an archive of the topic shows which.
     ``min_partitions`` lets Spark cut a topic partition into ranges of offsets, so
     that the number of topic partitions does not limit the tasks, nor a full one
     hold up the rest.
@@ -33,7 +36,7 @@ def kafka_options(
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
@@ -48,9 +51,12 @@ def kafka_stream(
     topic: str,
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
+    fail_on_data_loss: bool = False,
 ) -> DataFrame:
     """Live bus records. Set the limit, or the first batch is the whole backlog."""
-    options = kafka_options(servers, topic, max_offsets_per_trigger, min_partitions)
+    options = kafka_options(
+        servers, topic, max_offsets_per_trigger, min_partitions, fail_on_data_loss
+    )
     return spark.readStream.format("kafka").options(**options).load()
 
 

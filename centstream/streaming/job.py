@@ -187,6 +187,7 @@ def run(settings: JobSettings) -> None:
         settings.topic,
         settings.max_offsets_per_trigger,
         settings.min_partitions,
+        settings.fail_on_data_loss,
     )
     queries = start_job(spark, settings, bus)
     try:

@@ -70,7 +70,8 @@ typed AS (
     CASE WHEN n % 9 = 0 THEN NULL ELSE 'item ' || n END AS description,
     CASE WHEN user_id % 5 = 0 THEN NULL ELSE 'cus_' || user_id END AS customer_id,
     CASE WHEN f = 14 THEN NULL ELSE n % 2 = 0 END AS livemode,
-    CASE f WHEN 8 THEN NULL WHEN 9 THEN -1 ELSE epoch_us(ts) // 1000000 END AS provider_created_at,
+    CASE f WHEN 8 THEN NULL WHEN 9 THEN -1 WHEN 17 THEN 300000000000
+      ELSE epoch_us(ts) // 1000000 END AS provider_created_at,
     CASE f WHEN 10 THEN NULL WHEN 11 THEN 'not-a-time'
       ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') END AS received_at,
     'stripe' AS source
@@ -390,6 +391,15 @@ def sql() -> dict[str, str]:
             f"SELECT event_id AS key, CAST({_json(FIELDS)} AS VARCHAR) AS value FROM typed", TYPED
         ),
         "envelope_decode": envelope,
+        "offset_gaps": _with(
+            "SELECT 'payment_events' AS topic, partition, before + 1 AS first_missing, "
+            "kafka_offset - 1 AS last_missing, kafka_offset - before - 1 AS missing FROM ("
+            "SELECT kafka_partition AS partition, kafka_offset, lag(kafka_offset) OVER "
+            "(PARTITION BY kafka_partition ORDER BY kafka_offset) AS before FROM bus) "
+            "WHERE kafka_offset - before > 1",
+            TYPED,
+            BUS,
+        ),
         "stream_source": envelope,
         "parse_contract": _checked(f"SELECT {trace}, {FIELDS} FROM parsed"),
         "minor_unit_divisor": _checked(f"{record} currency, divisor FROM normal"),
@@ -487,6 +497,11 @@ def sql() -> dict[str, str]:
         ),
         "webhook_publish": published,
         "stream_ingest": published,
+        "stream_deliveries": _with(
+            "SELECT ingest_status, count(*) AS delivery_count FROM ingested GROUP BY ALL",
+            TYPED,
+            webhook,
+        ),
         "contract_check": _with(CONTRACT_CHECK, TYPED),
         "stream_valid": _stored(valid),
         "stream_dedup": _stored(f"{table} FROM payments"),

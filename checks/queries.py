@@ -16,6 +16,7 @@ from centstream.contract import BRONZE_DDL, EVENT_COLUMNS, TRACE_COLUMNS
 from centstream.functions import currency as money
 from centstream.functions.signature import signing_keys
 from centstream.operators import ingest, quality, reports, route, upsert, validate
+from centstream.operators.offsets import offset_gaps
 from centstream.operators.parse import decode_envelope, parse_contract
 from centstream.operators.publish import KEEP_NULLS, publish_records
 from centstream.plans import batch, fixtures
@@ -24,6 +25,7 @@ from centstream.session import new_folder
 from centstream.sources.bus import file_stream
 from centstream.sources.payments import PaymentsTable
 from centstream.streaming import job, live
+from centstream.streaming.deliveries import delivery_report, start_deliveries
 
 SECRET = "whsec_fixture_only"
 AS_OF = datetime(2024, 1, 30, 12)
@@ -193,6 +195,25 @@ def stream_ingest(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def stream_deliveries(spark, sf_dir):
+    """Outcomes counted batch by batch while deliveries are published, over two runs."""
+    folder, out = new_folder(spark, "bronze"), new_folder(spark, "published")
+    reports, checkpoint = new_folder(spark, "reports"), new_folder(spark, "checkpoint")
+    name = _query_name()
+    half = F.col("body").isNotNull() & (F.pmod(F.xxhash64("body"), F.lit(2)) == 0)
+    for wanted in (half, ~half):
+        _deliver(spark, folder, deliveries(spark, sf_dir).where(wanted))
+        bronze = spark.readStream.schema(BRONZE_DDL).parquet(folder)
+
+        def publish(ready):
+            publish_records(ready).write.mode("append").parquet(out)
+
+        _drain(
+            start_deliveries(bronze, keys(spark), publish, checkpoint, reports, job.DRAIN, name)
+        )
+    return delivery_report(spark, reports).select("ingest_status", "delivery_count")
+
+
 def contract_check(spark, sf_dir):
     """Every seventh event carries a field that the contract does not know."""
     typed = fixtures.payment_events(events(spark, sf_dir))
@@ -480,6 +501,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fixture_payments": fixture_payments,
     "publish_records": publish,
     "envelope_decode": envelope_decode,
+    "offset_gaps": lambda s, d: offset_gaps(bus(s, d)),
     "parse_contract": parsed,
     "minor_unit_divisor": minor_unit_divisor,
     "amount_major": _normalised("amount_minor", "currency", "amount_major"),
@@ -517,6 +539,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "format_money": _report(format_money),
     "dashboard_bundle": dashboard_bundle,
     "stream_ingest": stream_ingest,
+    "stream_deliveries": stream_deliveries,
     "stream_source": stream_source,
     "stream_valid": stream_valid,
     "stream_dedup": stream_dedup,
