@@ -75,5 +75,11 @@ class Folder:
             self._fs.makeQualified(draft), self._fs.makeQualified(target), over
         )
 
+    def move(self, name: str, to: str) -> None:
+        """Rename a file or folder; what has the new name must not be there."""
+        self._fs.mkdirs(self._path(to).getParent())
+        if not self._fs.rename(self._path(name), self._path(to)):
+            raise OSError(f"cannot rename {name} to {to} below {self.root}")
+
     def delete(self, name: str) -> None:
         self._fs.delete(self._path(name), True)

@@ -10,7 +10,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from centstream.contract import REJECT_DDL
 from centstream.operators.ingest import ingest, published_events
 from centstream.operators.route import (
     WATERMARK,
@@ -26,6 +25,9 @@ from centstream.sources.bus import kafka_stream, publish_stream
 from centstream.sources.jdbc import JdbcPayments
 from centstream.sources.payments import WHOLE_TABLE, PaymentsTable
 from centstream.streaming.counts import BatchCounts, watched
+from centstream.streaming.rejects import RejectedFiles, read_rejected
+
+__all__ = ["read_rejected", "start_job", "start_rejected", "start_valid", "start_valid_late_safe"]
 
 LOGGER = logging.getLogger(__name__)
 
@@ -36,9 +38,6 @@ REJECTED_QUERY = "rejected-records"
 # Process what is there and stop; the form used by tests and backfills.
 DRAIN = {"availableNow": True}
 
-# The default of the JSON writer would cut instants to milliseconds.
-JSON_CLOCK = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-
 
 def start_valid(
     bus: DataFrame,
@@ -101,18 +100,22 @@ def start_rejected(
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
     processed_at: Column | None = None,
+    tidy_every: int = 0,
     name: str = REJECTED_QUERY,
 ) -> StreamingQuery:
-    """Append refused records as JSON files, one folder per rejection date."""
+    """File refused records as JSON, a folder per rejection date and micro-batch.
+
+    Every ``tidy_every`` batches the folders of dates that are over are joined.
+    """
     rejected = rejected_records(watched(check_records(bus, processed_at)))
-    writer = rejected.writeStream.format("json").partitionBy("rejection_date")
-    writer = writer.option("path", path).option("timestampFormat", JSON_CLOCK)
-    return _start(writer, name, checkpoint, trigger)
+    files = RejectedFiles(bus.sparkSession, path, checkpoint)
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        files.write(batch, batch_id)
+        if tidy_every and batch_id % tidy_every == tidy_every - 1:
+            files.join_dates(batch_id)
 
-def read_rejected(spark: SparkSession, path: str) -> DataFrame:
-    """Refused records written so far; a filter on the date prunes folders."""
-    return spark.read.schema(REJECT_DDL).option("timestampFormat", JSON_CLOCK).json(path)
+    return _start(rejected.writeStream.foreachBatch(write), name, checkpoint, trigger)
 
 
 def _start(writer, name: str, checkpoint: str, trigger: Mapping[str, object] | None):
@@ -172,7 +175,9 @@ def start_job(
     else:
         valid = start_valid(bus, sink, delay=settings.watermark, **common)
     checkpoint = f"{settings.checkpoint_root}/rejected"
-    rejected = start_rejected(bus, settings.rejected_path, checkpoint, trigger)
+    rejected = start_rejected(
+        bus, settings.rejected_path, checkpoint, trigger, tidy_every=settings.tidy_every
+    )
     LOGGER.info("started valid=%s rejected=%s", valid.id, rejected.id)
     return [valid, rejected]
 
