@@ -53,6 +53,56 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """
 
 
+OP5 = """
+WITH RECURSIVE vec AS MATERIALIZED (
+  SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS size
+  FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+  WHERE len([x FOR x IN v IF x IS NULL OR NOT isfinite(x)]) = 0 AND list_dot_product(v, v) > 0),
+link AS MATERIALIZED (
+  SELECT a.vec_id AS one, b.vec_id AS two FROM vec a JOIN vec b ON a.vec_id <> b.vec_id
+  WHERE CASE WHEN len(a.v) = len(b.v)
+    THEN list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.95 ELSE false END),
+reach AS (
+  SELECT one AS origin, one AS here FROM link
+  UNION
+  SELECT origin, two FROM reach JOIN link ON here = one),
+least AS (SELECT origin, min(here) AS component_id FROM reach GROUP BY origin),
+degree AS (SELECT one, count(*) AS n_links FROM link GROUP BY one)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+  coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN least ON vec_id = origin LEFT JOIN degree ON vec_id = one
+"""
+
+OP9 = f"""
+WITH split AS MATERIALIZED (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents),
+line AS MATERIALIZED (
+  SELECT doc_id, i - 1 AS line, {_words(ALNUM)} AS w
+  FROM (SELECT doc_id, i, s[i] AS text
+        FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM split))),
+tokens AS MATERIALIZED (
+  SELECT doc_id, line, CASE WHEN len(w) = 0 THEN NULL
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(
+      [array_to_string(list_slice(w, i, i + 4), ' ') FOR i IN range(1, len(w) - 3)])) END AS t
+  FROM line),
+class AS MATERIALIZED (
+  SELECT t, len(t) AS n, min(doc_id * 1000000000 + line) AS born
+  FROM tokens WHERE t IS NOT NULL GROUP BY t),
+token AS MATERIALIZED (SELECT born, n, unnest(t) AS token FROM class),
+late AS MATERIALIZED (
+  SELECT DISTINCT later FROM (
+    SELECT b.born AS later FROM token a JOIN token b ON a.token = b.token AND a.born < b.born
+    GROUP BY a.born, b.born, a.n, b.n HAVING 9 * count(*) >= 4 * (a.n + b.n))),
+fate AS (
+  SELECT doc_id, line, born IS NOT NULL
+    AND (born <> doc_id * 1000000000 + line OR born IN (SELECT later FROM late)) AS gone
+  FROM tokens LEFT JOIN class USING (t))
+SELECT doc_id, count(line) AS n_lines, count(line) FILTER (WHERE gone) AS n_removed,
+  coalesce(string_agg(CAST(line AS VARCHAR), ',' ORDER BY line) FILTER (WHERE gone), '') AS removed
+FROM documents LEFT JOIN fate USING (doc_id) GROUP BY doc_id
+"""
+
+
 #: CRC-32 of the sixteen half bytes.
 CRC_STEPS = (
     "[0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, "
@@ -142,6 +192,8 @@ def sql() -> dict[str, str]:
     return {
         "op1_benchmark_decontamination": OP1,
         "op3_url_filter": OP3,
+        "op5_embedding_near_dedup": OP5,
+        "op9_line_dedup": OP9,
         "op11_conversation_prefix_trie": OP11,
         "op12_spelling_variants": OP12,
     }
