@@ -7,6 +7,7 @@ from centstream.contract import BRONZE_DDL
 from centstream.operators import ingest
 from centstream.session import new_folder
 from centstream.streaming.deliveries import delivery_batches, delivery_report, start_deliveries
+from checks import queries
 from checks.queries import deliveries, keys
 
 
@@ -53,3 +54,22 @@ def test_outcomes_add_up_to_deliveries_after_a_failure(spark, bronze):
 
 def test_no_report_yet(spark):
     assert delivery_report(spark, new_folder(spark, "none")).collect() == []
+
+
+def test_each_delivery_is_built_for_one_run_only(spark, sf_dir, monkeypatch):
+    sent, deliver = [], queries._deliver
+
+    def watched(spark, folder, records):
+        sent.append(records)
+        deliver(spark, folder, records)
+
+    monkeypatch.setattr(queries, "_deliver", watched)
+    queries.stream_deliveries(spark, sf_dir)
+    for records in sent:
+        plan = records._jdf.queryExecution().optimizedPlan().toString().lower()
+        filters = [line for line in plan.splitlines() if "filter" in line]
+        assert filters and not any("json" in line for line in filters)
+    first, second = (records.count() for records in sent)
+    assert first and second and first + second == deliveries(spark, sf_dir).count()
+    both = sent[0].unionAll(sent[1])
+    assert both.exceptAll(deliveries(spark, sf_dir)).isEmpty()
